@@ -20,8 +20,26 @@ CHURN_ID_COLUMNS = ["customer_id", "surname"]
 CHURN_TARGET = "exited"
 
 
+# Declared, so that opening a table starts no schema-inference job.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+}
+
+
 def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{directory}/{name}.parquet")
+    reader = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
+    return reader.parquet(f"{directory}/{name}.parquet")
 
 
 def churn_view(
@@ -40,8 +58,9 @@ def churn_view(
     cents = F.round(F.col("o_totalprice") * 100).cast("long")
     per_customer = (
         orders.withColumn("cutoff", cutoff)
-        .groupBy("o_custkey", "cutoff")
+        .groupBy("o_custkey")
         .agg(
+            F.max("cutoff").alias("cutoff"),
             F.count(F.when(past, 1)).alias("num_products"),
             F.sum(F.when(past, cents)).alias("cents"),
             F.min(F.when(past, F.col("day"))).alias("first_day"),
