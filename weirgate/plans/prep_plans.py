@@ -188,9 +188,9 @@ def class_weights(spark, sf):
 
 
 SMOTE_FEATURES = {
-    "balance": "balance / CAST(1000 AS DOUBLE)",
-    "tenure": "tenure / CAST(100 AS DOUBLE)",
-    "salary": "salary / CAST(100000 AS DOUBLE)",
+    "balance": "balance / CAST(10 AS DOUBLE)",
+    "tenure": "CAST(tenure AS DOUBLE)",
+    "salary": "salary / CAST(1000 AS DOUBLE)",
     "num_products": "num_products",
 }
 
