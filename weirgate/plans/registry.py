@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from weirgate.plans import drift_plans, prep_plans, profile_plans
+from weirgate.plans import drift_plans, gate_plans, prep_plans, profile_plans, selection_plans
 from weirgate.plans.common import Query
 
-MODULES = [profile_plans, prep_plans, drift_plans]
+MODULES = [profile_plans, prep_plans, drift_plans, selection_plans, gate_plans]
 
 
 def all_queries() -> dict[str, Query]:
