@@ -206,7 +206,9 @@ def capture_records(scored: DataFrame, features: list[str], settings: CaptureSet
     grouped = sampled(scored, settings.sample_rate, seed=settings.seed).groupBy(*CAPTURE_IDENTITY).agg(
         F.count(F.lit(1)).alias("row_count"),
         # collect_list skips the NULLs of rows beyond the bound.
-        F.array_sort(F.collect_list(F.when(keep, captured))).alias("_rows"),
+        F.array_sort(
+            F.collect_list(F.when(keep, captured)), lambda a, b: a["pos"] - b["pos"]
+        ).alias("_rows"),
     )
     extra = []
     if settings.capture_inputs:

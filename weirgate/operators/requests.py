@@ -89,7 +89,9 @@ def score_rows(aligned: DataFrame, model: Transformer) -> DataFrame:
 
 def responses(scored: DataFrame, by: list[str]) -> DataFrame:
     """Predictions per request, in input order."""
-    pairs = F.array_sort(F.collect_list(F.struct("pos", "prediction")))
+    pairs = F.array_sort(
+        F.collect_list(F.struct("pos", "prediction")), lambda a, b: a["pos"] - b["pos"]
+    )
     return scored.groupBy(*by).agg(F.transform(pairs, lambda p: p["prediction"]).alias("outputs"))
 
 

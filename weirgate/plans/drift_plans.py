@@ -8,7 +8,7 @@ from weirgate.operators import drift
 from weirgate.operators.validate import ValidationConfig, validate
 from weirgate.plans.common import Registry, rounded
 from weirgate.plans.views import with_churn
-from weirgate.session import cut_lineage
+from weirgate.session import cut_lineage, local_rows
 from weirgate.sources.tables import CHURN_TARGET, churn_view, table
 
 plans = Registry()
@@ -130,8 +130,6 @@ def js_distance(spark, sf):
          ('l_quantity', 'num'), ('l_returnflag', 'cat'), ('l_extendedprice', 'num')) AS t("column", kind)""",
 )
 def column_types(spark, sf):
-    from weirgate.session import local_rows
-
     lines = table(spark, sf, "lineitem")
     kinds = drift.column_kinds(lines, ["l_linenumber", "l_quantity", "l_returnflag", "l_extendedprice"])
     return local_rows(spark, list(kinds.items()), "column string, kind string")

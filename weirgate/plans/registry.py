@@ -2,10 +2,26 @@
 
 from __future__ import annotations
 
-from weirgate.plans import drift_plans, gate_plans, prep_plans, profile_plans, selection_plans
+from weirgate.plans import (
+    drift_plans,
+    gate_plans,
+    model_plans,
+    prep_plans,
+    profile_plans,
+    scoring_plans,
+    selection_plans,
+)
 from weirgate.plans.common import Query
 
-MODULES = [profile_plans, prep_plans, drift_plans, selection_plans, gate_plans]
+MODULES = [
+    profile_plans,
+    prep_plans,
+    drift_plans,
+    selection_plans,
+    gate_plans,
+    scoring_plans,
+    model_plans,
+]
 
 
 def all_queries() -> dict[str, Query]:
