@@ -10,6 +10,7 @@ from weirgate.plans import (
     profile_plans,
     scoring_plans,
     selection_plans,
+    streaming_plans,
 )
 from weirgate.plans.common import Query
 
@@ -21,6 +22,7 @@ MODULES = [
     gate_plans,
     scoring_plans,
     model_plans,
+    streaming_plans,
 ]
 
 
