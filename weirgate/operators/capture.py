@@ -97,20 +97,36 @@ def max_class_share(distribution: DataFrame, by: list[str]) -> DataFrame:
     )
 
 
-def capture_facts(records: DataFrame, by: list[str], expected_feature_count: int) -> DataFrame:
-    """Per group: record count, whether every record has the expected width, label balance."""
+def record_marks(records: DataFrame, keep: list[Column | str], expected_feature_count: int) -> DataFrame:
+    """One row per record (``record`` true, no label) and one per prediction of it.
+
+    Counting both together needs the parsed records only once.
+    """
     fits = F.coalesce(F.col("feature_count"), F.lit(-1)) == expected_feature_count
-    counts = records.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("record_count"), F.bool_and(fits).alias("schema_consistent")
+    marks = F.concat(
+        F.array(F.lit(None).cast("string")), F.coalesce(OUTPUT_LABELS, F.array().cast("array<string>"))
     )
-    shares = max_class_share(prediction_distribution(records, by), by)
-    return counts.join(shares, by, "left").select(
-        *by,
-        "record_count",
-        "schema_consistent",
-        F.coalesce("predictions", F.lit(0)).alias("predictions"),
-        F.coalesce("max_single_class_share", F.lit(0.0)).alias("max_single_class_share"),
+    rows = records.select(*keep, fits.alias("fits"), F.posexplode(marks).alias("at", "label"))
+    return rows.withColumn("record", F.col("at") == 0).drop("at")
+
+
+def facts_of_marks(marks: DataFrame, by: list[Column | str], names: list[str]) -> DataFrame:
+    """Record count, schema consistency and label balance per group; two aggregations, one shuffle key."""
+    counts = marks.groupBy(*by, "record", "label").agg(
+        F.count(F.lit(1)).alias("n"), F.bool_and("fits").alias("fits")
     )
+    labelled = F.when(~F.col("record"), F.col("n"))
+    return counts.groupBy(*names).agg(
+        F.sum(F.when(F.col("record"), F.col("n"))).alias("record_count"),
+        F.bool_and("fits").alias("schema_consistent"),
+        F.coalesce(F.sum(labelled), F.lit(0)).alias("predictions"),
+        F.coalesce(F.max(labelled) / F.sum(labelled), F.lit(0.0)).alias("max_single_class_share"),
+    )
+
+
+def capture_facts(records: DataFrame, by: list[str], expected_feature_count: int) -> DataFrame:
+    """Per group: record count, whether every record has the expected width, label balance."""
+    return facts_of_marks(record_marks(records, by, expected_feature_count), by, by)
 
 
 # --- evidence --------------------------------------------------------------------------

@@ -12,12 +12,14 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from weirgate.functions.columns import known
 from weirgate.operators.evaluate import classification_report
-from weirgate.operators.prep import Prepared, class_sizes, with_class_weight
+from weirgate.operators.pick import class_sizes
+from weirgate.operators.prep import Prepared, prepare, with_class_weight
+from weirgate.operators.select import best_by
 from weirgate.operators.smote import smote
+from weirgate.operators.validate import ValidationConfig, validate
 from weirgate.session import cut_lineage, local_rows
 
 MAX_TREE_DEPTH = 30
@@ -275,16 +277,11 @@ def run_trials(
 
 def best_candidate_summary(results: DataFrame, by: list[str] = ()) -> DataFrame:
     """Best row by F1 with its metrics; the first in training order wins ties."""
-    from weirgate.operators.select import best_by
-
     return best_by(results, "f1", "seq", list(by))
 
 
-def smoke(df: DataFrame, *, target: str, key: str, drop: list[str], categorical: list[str], config) -> DataFrame:
+def smoke(df: DataFrame, *, target: str, key: str, drop: list[str], categorical: list[str], config: ValidationConfig) -> DataFrame:
     """Self-test: prepare, validate the table against itself, train, one summary row."""
-    from weirgate.operators.prep import prepare
-    from weirgate.operators.validate import validate
-
     pinned = cut_lineage(df)
     prepared = prepare(pinned, target=target, key=key, drop=drop, categorical=categorical)
     gate = validate(pinned, pinned, config).first()

@@ -60,31 +60,20 @@ def override_keys(params: Column) -> Column:
 
 
 def typed_scalar(text: Column, scientific: bool = False) -> Column:
-    """Typed value of a text: struct(kind, bool_value, int_value, double_value, text).
+    """struct(kind, value): which type a text stands for, and its trimmed text.
 
     A float needs a dot, so ``1e-3`` stays text unless ``scientific``.
     """
-    lowered = F.lower(F.trim(text))
-    number = F.trim(text)
-    whole = number.rlike(r"^[+-]?\d+$") & number.try_cast("bigint").isNotNull()
-    pattern = r"^[+-]?(\d+\.\d*|\.\d+)([eE][+-]?\d+)?$"
-    real = number.rlike(pattern)
-    if scientific:
-        real = real | number.rlike(r"^[+-]?\d+[eE][+-]?\d+$")
+    word = F.trim(text)
+    exponent = r"^[+-]?(\d+\.\d*|\.\d+|\d+(?=[eE]))([eE][+-]?\d+)?$" if scientific else r"^[+-]?(\d+\.\d*|\.\d+)([eE][+-]?\d+)?$"
     kind = (
-        F.when(text.isNull(), "null")
-        .when(lowered.isin("true", "false"), "bool")
-        .when(whole, "int")
-        .when(real, "float")
-        .otherwise("text")
-    )
-    return F.struct(
-        kind.alias("kind"),
-        F.when(lowered.isin("true", "false"), lowered == "true").alias("bool_value"),
-        F.when(whole, number.try_cast("bigint")).alias("int_value"),
-        F.when(real & ~whole, number.try_cast("double")).alias("double_value"),
-        text.alias("text"),
+        F.when(F.lower(word).isin("true", "false"), "bool")
+        .when(word.rlike(r"^[+-]?\d+$"), "int")
+        .when(word.rlike(exponent), "float")
+        .when(text.isNotNull(), "text")
     )
+    value = F.when(F.lower(word).isin("true", "false"), F.lower(word)).otherwise(word)
+    return F.struct(kind.alias("kind"), value.alias("value"))
 
 
 def loose_bool(value: Column, default: bool, strict: bool = True) -> Column:
@@ -137,6 +126,6 @@ def winner_configs(winners: DataFrame, manifests: DataFrame) -> DataFrame:
         F.array("model_name").alias("models"),
         F.transform_values(checked, lambda k, v: typed_scalar(v)).alias("hyperparameters"),
         shared["class_weight"].alias("class_weight"),
-        typed_scalar(shared["random_state"])["int_value"].alias("random_state"),
+        F.trim(shared["random_state"]).try_cast("bigint").alias("random_state"),
         loose_bool(shared["use_smote"], False).alias("use_smote"),
     )

@@ -103,11 +103,11 @@ def best_overall(spark, sf):
     UNION ALL SELECT sweep_id, model_name, run_id, 'roc_auc', round(roc_auc, 6) FROM trials WHERE roc_auc IS NOT NULL""",
 )
 def candidate_metrics(spark, sf):
-    rows = trials(spark, sf)
-    text = F.to_json(F.map_concat(
-        F.create_map(F.lit("model_name"), F.col("model_name"), F.lit("run_id"), F.col("run_id")),
-        F.transform_values("metrics", lambda k, v: v.cast("string")),
-    ))
+    rows = derived(spark, sf, "trials")
+    text = F.concat(
+        F.lit('{"model_name":"'), "model_name", F.lit('","run_id":"'), "run_id", F.lit('","f1":'), "f1",
+        F.coalesce(F.concat(F.lit(',"roc_auc":'), "roc_auc"), F.lit("")), F.lit("}"),
+    )
     parsed = parse_candidate_metrics(rows.select("sweep_id", text.alias("line")), keep=["sweep_id"])
     return rounded(select.metrics_long(parsed))
 
@@ -268,11 +268,10 @@ def winner_config(spark, sf):
     config = search.winner_configs(winners, manifests)
     clamped = F.transform_values(
         "hyperparameters",
-        lambda k, v: F.when(k == "min_samples_split", F.concat(F.lit("int:"), F.greatest(v["int_value"], F.lit(2)).cast("string")))
-        .when(v["kind"] == "bool", F.concat(F.lit("bool:"), v["bool_value"].cast("string")))
-        .when(v["kind"] == "int", F.concat(F.lit("int:"), v["int_value"].cast("string")))
-        .when(v["kind"] == "float", F.concat(F.lit("float:"), v["double_value"].cast("string")))
-        .otherwise(F.concat(F.lit("text:"), v["text"])),
+        lambda k, v: F.concat(
+            v["kind"], F.lit(":"),
+            F.when((k == "min_samples_split") & (v["value"] < "2"), "2").otherwise(v["value"]),
+        ),
     )
     return config.select(
         "sweep_id", F.concat_ws(",", "models").alias("models"), search.trial_key(clamped).alias("hyperparameters"),
