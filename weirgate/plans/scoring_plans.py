@@ -242,7 +242,7 @@ def union_by_name(spark, sf):
 
 
 @plans.query(
-    "trial_roll_up",
+    "sorted_means",
     """SELECT l_returnflag, round(avg(l_discount), 6) AS mean_metric FROM lineitem GROUP BY l_returnflag ORDER BY 2""",
 )
 def sorted_means(spark, sf):

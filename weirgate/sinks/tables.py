@@ -75,7 +75,7 @@ def write_captures(records: DataFrame, path: str, refuse_existing: bool = True)
 
 def append_summary(summary: DataFrame, path: str, run_id: str, kind: str) -> None:
     """Append summary rows of any kind (validation, selection, promotion, monitor) by run."""
-    summary.select(F.lit(run_id).alias("run_id"), *summary.columns).write.mode("append").json(f"{path}/kind={kind}")
+    summary.withColumn("run_id", F.lit(run_id)).write.mode("append").json(f"{path}/kind={kind}")
 
 
 def without_secrets(values: Column) -> Column:
