@@ -43,15 +43,21 @@ def _distances(points: np.ndarray, others: np.ndarray) -> np.ndarray:
     return total
 
 
+def _slices(batches: Iterator[pd.DataFrame], rows: int = 1024) -> Iterator[pd.DataFrame]:
+    """Arrow batches in pieces, so that distance matrices stay small."""
+    for batch in batches:
+        for start in range(0, len(batch), rows):
+            yield batch.iloc[start : start + rows].reset_index(drop=True)
+
+
 def _assign(points: DataFrame, pivots: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                squared = _distances(np.stack(batch["features"].to_numpy()), pivots)
-                cell = squared.argmin(axis=1)
-                yield batch.assign(
-                    cell=cell.astype("int32"), away=np.sqrt(squared[np.arange(len(batch)), cell])
-                )
+        for batch in _slices(batches):
+            squared = _distances(np.stack(batch["features"].to_numpy()), pivots)
+            cell = squared.argmin(axis=1)
+            yield batch.assign(
+                cell=cell.astype("int32"), away=np.sqrt(squared[np.arange(len(batch)), cell])
+            )
 
     return points.mapInPandas(
         run, "pid bigint, features array<double>, copies bigint, cell int, away double"
@@ -86,9 +92,7 @@ def _candidates(assigned: DataFrame, cells: Cells) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         occupied = cells.radius >= 0
-        for batch in batches:
-            if not len(batch):
-                continue
+        for batch in _slices(batches):
             to_pivot = np.sqrt(_distances(np.stack(batch["features"].to_numpy()), cells.pivots))
             own = batch["cell"].to_numpy()
             apart = cells.between[own]
@@ -146,7 +150,7 @@ def _best_of_block(k: int):
 
 
 def nearest_neighbours(
-    points: DataFrame, k: int, max_pivots: int = 256, block_rows: int = 2048
+    points: DataFrame, k: int, max_pivots: int = 1024, block_rows: int = 2048
 ) -> DataFrame:
     """(pid, rank, neighbour, distance2, copies, features of the neighbour), rank from 0.
 

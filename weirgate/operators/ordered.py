@@ -20,12 +20,13 @@ from weirgate.session import cut_lineage
 def range_buckets(df: DataFrame, keys: list[str], partitions: int | None = None) -> DataFrame:
     """Rows tagged with ``_bucket``, ascending in ``keys``; written once and reused.
 
-    The checkpoint pins the sampled boundaries: every later branch sees the same
-    buckets even if an executor is lost.
+    Without ``partitions`` the number follows the data: it starts at
+    ``spark.sql.shuffle.partitions`` and adaptive execution joins neighbouring ranges
+    that are small. The checkpoint pins the sampled boundaries: every later branch sees
+    the same buckets even if an executor is lost.
     """
-    spark = df.sparkSession
-    count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(count, *[F.col(k) for k in keys])
+    columns = [F.col(k) for k in keys]
+    ranged = df.repartitionByRange(partitions, *columns) if partitions else df.repartitionByRange(*columns)
     return cut_lineage(ranged.withColumn("_bucket", F.spark_partition_id()))
 
 

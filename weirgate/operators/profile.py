@@ -6,6 +6,7 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weirgate.functions.columns import is_missing, known, numeric_columns, ratio
 from weirgate.operators.ordered import quantiles, ranked_values
@@ -90,9 +91,20 @@ def row_count_delta(reference: DataFrame, current: DataFrame) -> DataFrame:
 
 
 def duplicate_count(df: DataFrame) -> DataFrame:
-    """Rows beyond the first of each group of identical rows; NULL equals NULL."""
+    """Rows beyond the first of each group of identical rows; NULL equals NULL.
+
+    Long texts are compared by length and SHA-256, so whole documents are not shuffled.
+    """
+    keys = []
+    for f in df.schema.fields:
+        column = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            text = F.when(F.length(column) <= 64, column.cast("binary")).otherwise(F.unhex(F.sha2(column, 256)))
+            keys += [F.length(column).alias(f"n_{f.name}"), text.alias(f.name)]
+        else:
+            keys.append(column)
     return (
-        df.groupBy(*df.columns)
+        df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("copies"))
         .agg(
             F.coalesce(F.sum("copies"), F.lit(0)).alias("row_count"),

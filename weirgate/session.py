@@ -25,6 +25,9 @@ def build_session(app: str = "weirgate", master: str | None = None, **conf: str)
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+        # Stream state beyond the heap: windows and request ids are kept on local disk.
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         **{k.replace("__", "."): v for k, v in conf.items()},
     }
     for key, value in settings.items():
