@@ -51,42 +51,50 @@ def select_winner(
     if round_to is not None:
         p, s = F.round(p, round_to), F.round(s, round_to)
     scored = candidates.select("sweep_id", "model_name", "run_id", p.alias("p"), s.alias("s"))
-    top = scored.groupBy("sweep_id").agg(F.max(F.struct("p", "s")).alias("top"))
-    rank = family_rank(F.col("model_name"), priority)
-    # Only rows tied on the primary metric go on, folded per priority level first.
-    levels = (
-        scored.join(top, "sweep_id")
-        .where(F.col("p") == F.col("top.p"))
-        .groupBy("sweep_id", F.col("top.p").alias("score"), (F.col("s") == F.col("top.s")).alias("both"), rank.alias("rank"))
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.collect_set("model_name").alias("names"),
-            F.min(F.struct("model_name", "run_id")).alias("first"),
-        )
+    # Three folds, each with map-side combine and no join: one sweep may hold most rows.
+    levels = scored.groupBy("sweep_id", "p", "model_name", "s").agg(
+        F.count(F.lit(1)).alias("n"), F.min("run_id").alias("run_id")
     )
-    both = F.col("both")
-    folded = levels.groupBy("sweep_id", "score").agg(
-        F.sum("n").alias("primary_tied"),
-        F.sum(F.when(both, F.col("n"))).alias("secondary_tied"),
-        F.min(F.when(both, F.struct("rank", "first", "n"))).alias("best"),
-        F.sort_array(F.array_distinct(F.flatten(F.collect_list("names")))).alias("primary_names"),
-        F.sort_array(F.array_distinct(F.flatten(F.collect_list(F.when(both, F.col("names")))))).alias("both_names"),
+    families = levels.groupBy("sweep_id", "p", "model_name").agg(
+        F.sum("n").alias("primary_n"), F.max_by(F.struct("s", "n", "run_id"), "s").alias("top")
+    )
+    entry = F.struct(
+        family_rank(F.col("model_name"), priority).alias("rank"), "model_name", "top.run_id", "top.s", "top.n", "primary_n"
+    )
+    # One entry per family name within a (sweep, primary value).
+    tied = families.groupBy("sweep_id", "p").agg(F.collect_list(entry).alias("entries"))
+    best = tied.groupBy("sweep_id").agg(F.max("p").alias("score"), F.max_by("entries", "p").alias("entries"))
+
+    def total(entries: Column, name: str) -> Column:
+        return F.aggregate(entries, F.lit(0).cast("long"), lambda acc, e: acc + e[name])
+
+    top_s = F.array_max(F.transform("entries", lambda e: e["s"]))
+    both = F.filter("entries", lambda e: e["s"] == F.col("_s"))
+    won = F.array_min("_both")
+    ranked = best.withColumn("_s", top_s).withColumn("_both", both).withColumn("_won", won)
+    same_rank = F.filter("_both", lambda e: e["rank"] == F.col("_won.rank"))
+    counted = ranked.select(
+        "*",
+        total(F.col("entries"), "primary_n").alias("_primary"),
+        total(F.col("_both"), "n").alias("_secondary"),
+        total(same_rank, "n").alias("_priority"),
     )
     reason = (
-        F.when(F.col("primary_tied") == 1, "primary_metric")
-        .when(F.col("secondary_tied") == 1, "secondary_metric")
-        .when(F.col("best.n") == 1, "family_priority")
+        F.when(F.col("_primary") == 1, "primary_metric")
+        .when(F.col("_secondary") == 1, "secondary_metric")
+        .when(F.col("_priority") == 1, "family_priority")
         .otherwise("final_fallback")
     )
     by_secondary = F.col("tie_break_reason") == "secondary_metric"
-    return folded.withColumn("tie_break_reason", reason).select(
+    listed = F.when(by_secondary, F.col("entries")).otherwise(F.col("_both"))
+    return counted.withColumn("tie_break_reason", reason).select(
         "sweep_id",
-        F.col("best.first.model_name").alias("model_name"),
-        F.col("best.first.run_id").alias("run_id"),
+        "_won.model_name",
+        "_won.run_id",
         "score",
         "tie_break_reason",
-        F.when(by_secondary, F.col("primary_names")).otherwise(F.col("both_names")).alias("tie_candidates"),
-        F.when(by_secondary, F.col("primary_tied")).otherwise(F.col("secondary_tied")).alias("tied"),
+        F.sort_array(F.transform(listed, lambda e: e["model_name"])).alias("tie_candidates"),
+        F.when(by_secondary, F.col("_primary")).otherwise(F.col("_secondary")).alias("tied"),
     )
 
 
@@ -130,13 +138,20 @@ def with_family_artifacts(candidates: DataFrame, bundles: DataFrame, manifests:
     """
     keys = ["sweep_id", "model_name"]
     empty = F.create_map().cast("map<string,string>")
-    joined = candidates.join(bundles.withColumnRenamed("paths", "_bundle"), keys, "left").join(
-        manifests.withColumnRenamed("paths", "_manifest"), keys, "left"
+    # The two small sides meet first, so that candidates pass through a single join.
+    paths = bundles.withColumnRenamed("paths", "_bundle").join(
+        manifests.withColumnRenamed("paths", "_manifest"), keys, "full_outer"
     )
     bundle = F.map_filter(F.coalesce("_bundle", empty), lambda k, v: v.isNotNull())
     manifest = F.map_filter(F.coalesce("_manifest", empty), lambda k, v: v.isNotNull())
-    kept = F.map_filter(bundle, lambda k, v: ~F.map_contains_key(manifest, k))
-    return joined.withColumn("artifacts", F.map_concat(kept, manifest)).drop("_bundle", "_manifest")
+    merged = paths.select(*keys, bundle.alias("_bundle"), manifest.alias("_manifest"))
+    kept = F.map_filter("_bundle", lambda k, v: ~F.map_contains_key("_manifest", k))
+    artifacts = merged.select(*keys, F.map_concat(kept, "_manifest").alias("_artifacts"))
+    return (
+        candidates.join(artifacts, keys, "left")
+        .withColumn("artifacts", F.coalesce("_artifacts", empty))
+        .drop("_artifacts")
+    )
 
 
 def family_report(candidates: DataFrame, manifests: DataFrame) -> DataFrame:
