@@ -1,8 +1,8 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
-Insult words and stems are learned from labelled rows by a greedy decision list: a term
-enters only for toxic texts that no earlier term explains, so words that merely keep
-company with insults stay out. Five small transducers (insult, threat, target, negation,
+Insult words and stems are learned from labelled rows: terms that stand mostly in toxic texts
+get non-negative weights by ridge logistic regression, so that words which merely keep
+company with insults weigh little. Five small transducers (insult, threat, target, negation,
 reported speech) run composed over the tokens of each clause that holds a hit; what they
 emit are matched clauses by kind, and a logistic model weighs the kinds. Clauses without a
 hit cost one pass of an automaton and nothing else.
@@ -26,8 +26,9 @@ from weirgate.session import cut_lineage
 # The classifier is fitted on at most about this many labelled rows.
 SAMPLE_ROWS = 20_000
 # Terms that reach the driver, the most frequent in toxic rows first.
-CANDIDATES = 20_000
-MIN_TOXIC, MIN_PRECISION, PENALTY = 4, 0.9, 3.0
+CANDIDATES = 6_000
+MIN_TOXIC, MIN_PRECISION = 4, 0.45
+RIDGE, LEAST_WEIGHT = 2.0, 0.3
 STEM = range(3, 9)
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -44,16 +45,18 @@ THREAT = set("""kill murder destroy hurt punch stab töten umbringen vernichten
 NEGATION_REACH = 3
 KINDS = ["insult", "targeted", "negated", "reported", "threat", "threat_at_target"]
 # Where the labels say nothing of a kind, its weight stays here.
-PRIOR = np.array([5.0, 5.0, 2.5, 2.5, 1.0, 2.5])
-PRIOR_STRENGTH = 0.05
-
-
-def terms_of(text: str) -> set[str]:
-    """Words of a text and their stems (``stem*``)."""
-    out = set()
-    for word in set(WORD.findall(text.lower())):
-        out.add(word)
-        out.update(word[:n] + "*" for n in STEM if n < len(word))
+PRIOR = np.array([1.0, 1.0, 0.6, 0.6, 0.5, 1.5])
+PRIOR_STRENGTH = 5.0
+
+
+def terms_of(text: str) -> Counter:
+    """How often a text has each word and each stem (``stem*``)."""
+    out: Counter = Counter()
+    for word, n in Counter(WORD.findall(text.lower())).items():
+        out[word] += n
+        for size in STEM:
+            if size < len(word):
+                out[word[:size] + "*"] += n
     return out
 
 
@@ -89,9 +92,9 @@ class Matcher:
             self.automaton.add_word(term, (*self.automaton.get(term, ()), "!" + term))
         self.automaton.make_automaton()
 
-    def hits(self, text: str) -> list[tuple[int, float, bool]]:
-        """(start, weight, is a threat) of every lexicon hit at a word's start."""
-        out = []
+    def hits(self, text: str) -> dict[int, list[str]]:
+        """Lexicon terms at each word's start; threats begin with an exclamation mark."""
+        out: dict[int, list[str]] = {}
         for end, terms in self.automaton.iter(text):
             for term in terms:
                 threat, stem = term[0] == "!", term[-1] == "*"
@@ -100,48 +103,48 @@ class Matcher:
                     continue
                 if not stem and end + 1 < len(text) and text[end + 1].isalpha():
                     continue
-                out.append((start, 1.0 if threat else self.lexicon[term], threat))
+                out.setdefault(start, []).append(term)
         return out
 
     def features(self, text: str) -> np.ndarray:
-        """Matched clauses of each kind, damped by a logarithm."""
+        """Weight of what was matched in clauses of each kind; repetition counts less and less."""
         text = text.lower()
+        hits = self.hits(text)
         sums = np.zeros(len(KINDS))
-        hits: dict[int, tuple[float, bool]] = {}
-        for start, weight, threat in self.hits(text):
-            if weight > hits.get(start, (0.0, False))[0]:
-                hits[start] = weight, threat
         if not hits:
             return sums
         ends = [m.start() for m in CLAUSE_END.finditer(text)] + [len(text)]
         starts = [0, *(e + 1 for e in ends[:-1])]
         found = np.searchsorted(starts, sorted(hits), side="right") - 1
+        matched: Counter = Counter()
         for clause in dict.fromkeys(found.tolist()):
-            sums += self.clause(text, starts[clause], ends[clause], hits)
-        return np.log1p(sums)
+            self.clause(text, starts[clause], ends[clause], hits, matched)
+        for (kind, term), n in matched.items():
+            sums[kind] += self.lexicon.get(term, 1.0) * damped(n)
+        return sums
 
-    def clause(self, text: str, start: int, end: int, hits: dict[int, tuple[float, bool]]) -> np.ndarray:
+    def clause(self, text: str, start: int, end: int, hits: dict[int, list[str]], matched: Counter) -> None:
         """Run the machines over one clause; the target may stand before or after the hit."""
         negated, reported, targeted = 0, False, False
-        insults = []
-        threats = 0.0
+        insults, threats = [], []
         for token in WORD.finditer(text, start, end):
-            hit = hits.get(token.start())
             word = token.group()
-            if hit:
-                if hit[1]:
-                    threats += hit[0] * (negated == 0)
-                else:
-                    insults.append((hit[0], negated > 0, reported))
+            for term in hits.get(token.start(), ()):
+                if term[0] != "!":
+                    insults.append((term, 3 if reported else 2 if negated else None))
+                elif not negated:
+                    threats.append(term)
             negated = NEGATION_REACH if word in NEGATION else max(0, negated - 1)
             reported |= word in REPORTED
             targeted |= word in TARGET
-        out = np.zeros(len(KINDS))
-        for weight, was_negated, was_reported in insults:
-            kind = 3 if was_reported else 2 if was_negated else 1 if targeted else 0
-            out[kind] += weight
-        out[5 if targeted else 4] += threats
-        return out
+        for term, kind in insults:
+            matched[(1 if targeted else 0) if kind is None else kind, term] += 1
+        for term in threats:
+            matched[5 if targeted else 4, term] += 1
+
+
+def damped(n):
+    return np.log2(1.0 + n)
 
 
 def held_out(id: str) -> Column:
@@ -174,37 +177,43 @@ def _term_counts(sample: DataFrame) -> DataFrame:
     )
 
 
-def choose_terms(rows: list[tuple[int, list[int]]], terms: list[str]) -> dict[str, float]:
-    """Greedy decision list over (label, candidate terms) of the sampled texts."""
-    toxic: dict[int, set[int]] = {}
-    clean = Counter()
-    for number, (label, found) in enumerate(rows):
-        for t in found:
-            if label:
-                toxic.setdefault(t, set()).add(number)
-            else:
-                clean[t] += 1
-    totals = {t: len(s) for t, s in toxic.items()}
-    chosen: dict[str, float] = {}
-    while toxic:
-        # Equal gains go to whole words, then to the longest stem.
-        best = max(
-            toxic, key=lambda t: (len(toxic[t]) - PENALTY * clean[t], terms[t][-1] != "*", len(terms[t]), terms[t])
+def distinct_terms(found: list) -> list[str]:
+    """Of terms that one text set cannot tell apart, the whole word or else the longest stem."""
+    best: dict[tuple, tuple] = {}
+    for row in found:
+        key = row["toxic"], row["clean"], row["term"][: STEM.start]
+        rank = row["term"][-1] != "*", len(row["term"]), row["term"]
+        best[key] = max(best.get(key, rank), rank)
+    return sorted(r[-1] for r in best.values())
+
+
+def weigh_terms(rows: list[tuple], terms: list[str]) -> dict[str, float]:
+    """Non-negative ridge logistic weights of the terms over (label, terms, counts) of texts."""
+    labels = np.array([r[0] for r in rows], dtype=float)
+    sizes = [len(r[1]) for r in rows]
+    row = np.repeat(np.arange(len(rows)), sizes)
+    term = np.array([t for r in rows for t in r[1]], dtype=np.int64)
+    value = damped(np.array([n for r in rows for n in r[2]], dtype=float))
+    w, bias = np.zeros(len(terms)), -2.0
+    first, second = np.zeros(len(terms) + 1), np.zeros(len(terms) + 1)
+    for i in range(1, 401):
+        margin = np.bincount(row, weights=w[term] * value, minlength=len(rows)) + bias
+        wrong = 1 / (1 + np.exp(-np.clip(margin, -30, 30))) - labels
+        gradient = np.append(
+            np.bincount(term, weights=wrong[row] * value, minlength=len(terms)) + RIDGE * w, wrong.sum()
         )
-        new = set(toxic[best])
-        if len(new) < MIN_TOXIC or len(new) - PENALTY * clean[best] <= 0:
-            break
-        odds = (totals[best] + 0.5) / (clean[best] + 0.5)
-        chosen[terms[best]] = float(np.log1p(odds) / np.log1p(20.0))
-        toxic = {t: left for t, s in toxic.items() if (left := s - new)}
-    return chosen
+        first = 0.9 * first + 0.1 * gradient
+        second = 0.99 * second + 0.01 * gradient**2
+        step = 0.05 * first / (1 - 0.9**i) / (np.sqrt(second / (1 - 0.99**i)) + 1e-8)
+        w, bias = np.maximum(w - step[:-1], 0.0), bias - step[-1]
+    return {terms[t]: float(w[t]) for t in np.flatnonzero(w >= LEAST_WEIGHT)}
 
 
 def _fit_weights(features: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, float]:
     """Ridge logistic regression pulled to the prior weights, by Newton steps."""
     x = np.column_stack([features, np.ones(len(features))])
     prior = np.append(PRIOR, -2.0)
-    pull = np.append(np.full(len(KINDS), PRIOR_STRENGTH * 20), PRIOR_STRENGTH)
+    pull = np.append(np.full(len(KINDS), PRIOR_STRENGTH), 0.01)
     w = prior.copy()
     for _ in range(25):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
@@ -251,21 +260,24 @@ def fit(
         .limit(CANDIDATES)
         .collect()
     )
-    terms = [r["term"] for r in found]
+    terms = distinct_terms(found)
     number = {t: i for i, t in enumerate(terms)}
 
     def matches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            sets = [[number[t] for t in terms_of(x) if t in number] for x in batch["_w_text"]]
-            yield pd.DataFrame({"label": batch["_w_label"].astype("int32"), "found": sets})
+            sets = [{number[t]: n for t, n in terms_of(x).items() if t in number} for x in batch["_w_text"]]
+            yield pd.DataFrame({
+                "label": batch["_w_label"].astype("int32"),
+                "found": [list(s) for s in sets], "counts": [list(s.values()) for s in sets],
+            })
 
     # One short row per sampled text.
     rows = [
-        (r["label"], list(r["found"]))
-        for r in sample.mapInPandas(matches, "label int, found array<int>").collect()
+        (r["label"], r["found"], r["counts"])
+        for r in sample.mapInPandas(matches, "label int, found array<int>, counts array<int>").collect()
     ]
-    grammar = Grammar(choose_terms(rows, terms))
-    toxic = sum(label for label, _ in rows)
+    grammar = Grammar(weigh_terms(rows, terms) if terms else {})
+    toxic = sum(r[0] for r in rows)
     if not grammar.lexicon:
         share = (toxic + 1) / (len(rows) + 3)
         return Grammar({}, PRIOR.copy(), float(np.log(share / (1 - share))))
