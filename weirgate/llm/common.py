@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import uuid
 from collections.abc import Callable, Iterator
 from types import ModuleType
 
@@ -13,10 +14,13 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from weirgate.operators.ordered import range_buckets
+from weirgate.session import cut_lineage, ensure_checkpoint_dir
 
 # Texts handed to one vectorised call hold about this many characters, so that a worker's
 # memory follows this number and its longest single text, not the table.
 STEP_CHARS = 1 << 19
+# What may travel to every task, as measured.
+BROADCAST_BYTES = 8 << 20
 
 Texts = Callable[[list[str]], list]
 
@@ -99,6 +103,16 @@ def following_ids(df: DataFrame, key: str, descending: bool = True) -> DataFrame
     )
 
 
-def slices_of(total: int, limit: int) -> Iterator[tuple[int, int]]:
-    for start in range(0, total, limit):
-        yield start, min(total, start + limit)
+def written(df: DataFrame) -> DataFrame:
+    """The frame as a compressed table in the shared checkpoint folder, read back."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def sized_side(df: DataFrame, bytes_of: Column) -> DataFrame:
+    """A pinned join side, broadcast only if its measured size allows; else a plain side."""
+    pinned = cut_lineage(df)
+    size = pinned.agg(F.sum(bytes_of).alias("b")).first()["b"] or 0
+    return F.broadcast(pinned) if size <= BROADCAST_BYTES else pinned

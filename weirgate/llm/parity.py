@@ -20,11 +20,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirgate.llm.common import STEP_CHARS, filled, map_texts
+from weirgate.llm.common import BROADCAST_BYTES, STEP_CHARS, filled, map_texts
 from weirgate.llm.graph import components
 from weirgate.session import cut_lineage
 
@@ -37,6 +38,11 @@ SMALL = 64
 # Documents whose parts are counted to find frequent ones, and the count that makes one.
 # Only the order of parts depends on it, never the result.
 SAMPLE_DOCS, FREQUENT = 1 << 14, 6
+PAIR_BYTES = 16
+# Rounds in which open sets meet one set of the group's largest component.
+HUB_ROUNDS = 1
+# Groups up to this size are joined; larger ones are compared in blocks of sketches.
+SMALL_GROUP, SKETCH_BLOCK = 32, 2048
 
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -240,10 +246,13 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         .where(distance * (100 + PERCENT) <= (100 - PERCENT) * both)
         .select("a", "b")
     )
+    near = cut_lineage(near)
+    # The few pairs go to the sets where their measured size allows, not the sets to the pairs.
+    side = F.broadcast(near) if near.count() * PAIR_BYTES <= BROADCAST_BYTES else near
     shared = F.size(F.array_intersect("ash", "bsh"))
-    return (
-        cut_lineage(near)
-        .join(left.select("a", "an", "ash"), "a").join(right.select("b", "bn", "bsh"), "b")
+    return cut_lineage(
+        left.select("a", "an", "ash").join(side, "a")
+        .join(right.select("b", "bn", "bsh").join(side, "b"), ["a", "b"])
         .where(shared * 100 >= PERCENT * (both - shared))
         .select("a", "b")
     )
@@ -309,12 +318,15 @@ def similar_components(df: DataFrame, id: str = "doc_id", text: str = "text") ->
             .distinct()
         )
 
-    first = cut_lineage(_links(star(F.min), sets))
-    found = components(first)
-    second = _links(_open_star(shared, found), sets)
-    links = cut_lineage(first.union(second))
+    links = _links(star(F.min), sets)
     found = components(links)
-    rest = cut_lineage(_links(_open_pairs(shared, found, sets), sets))
+    for number in range(HUB_ROUNDS):
+        more = _links(_hub_pairs(shared, found, number), sets)
+        if more.isEmpty():
+            break
+        links = cut_lineage(links.union(more))
+        found = components(links)
+    rest = _links(_open_pairs(shared, found, sets), sets)
     if not rest.isEmpty():
         found = components(links.union(rest))
     named = thin.join(found, thin["key"] == found["node"], "left").withColumn(
@@ -336,27 +348,75 @@ def _open(shared: DataFrame, found: DataFrame) -> DataFrame:
     return tagged.join(several, "sig")
 
 
-def _open_star(shared: DataFrame, found: DataFrame) -> DataFrame:
-    """Sets outside a signature's smallest component against one of the largest, and reverse."""
-    several = _open(shared, found)
-    centres = several.groupBy("sig").agg(
-        F.min(F.when(F.col("part") == F.col("hi"), F.col("key"))).alias("high"),
-        F.max(F.when(F.col("part") == F.col("lo"), F.col("key"))).alias("low"),
+def _hub_pairs(shared: DataFrame, found: DataFrame, number: int) -> DataFrame:
+    """Each open set with one set of the component that most sets of a signature are in.
+
+    Signatures choose their hubs by hash, so a set that shares many meets many hubs.
+    """
+    several = cut_lineage(_open(shared, found))
+    hubs = (
+        several.groupBy("sig", "part")
+        .agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("key", "sig", F.lit(number)).alias("h"), "key")).alias("x"))
+        .groupBy("sig").agg(F.max(F.struct("n", F.col("part").alias("hub_part"), F.col("x.key").alias("hub"))).alias("y"))
+        .select("sig", "y.hub_part", "y.hub")
     )
-    pairs = several.join(centres, "sig").select(
-        "key", F.when(F.col("part") == F.col("hi"), F.col("low")).otherwise(F.col("high")).alias("other")
+    return (
+        several.join(hubs, "sig").where(F.col("part") != F.col("hub_part"))
+        .select(F.least("key", "hub").alias("a"), F.greatest("key", "hub").alias("b"))
+        .distinct()
     )
-    return pairs.select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).distinct()
+
+
+def _near_in_blocks(left: pd.DataFrame, right: pd.DataFrame, same: bool) -> pd.DataFrame:
+    """Pairs of different components whose sizes and sketches allow a link."""
+    a_key, a_part, a_n = (left[c].to_numpy() for c in ("key", "part", "n"))
+    b_key, b_part, b_n = (right[c].to_numpy() for c in ("key", "part", "n"))
+    a_bits, b_bits = (np.stack(x["sketch"].to_numpy()).view(np.uint64) for x in (left, right))
+    out = []
+    for at in range(0, len(left), 32):
+        rows = slice(at, at + 32)
+        both = a_n[rows, None] + b_n[None, :]
+        fits = (a_part[rows, None] != b_part[None, :]) & (
+            np.minimum(a_n[rows, None], b_n[None, :]) * 100 >= np.maximum(a_n[rows, None], b_n[None, :]) * PERCENT
+        )
+        if same:
+            fits &= a_key[rows, None] < b_key[None, :]
+        i, j = np.nonzero(fits)
+        distance = np.bitwise_count(a_bits[rows][i] ^ b_bits[j]).sum(axis=1, dtype=np.int64)
+        near = distance * (100 + PERCENT) <= (100 - PERCENT) * both[i, j]
+        x, y = a_key[rows][i[near]], b_key[j[near]]
+        out.append(pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y)}))
+    return pd.concat(out, ignore_index=True)
 
 
 def _open_pairs(shared: DataFrame, found: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs that share a signature, are of like size and still lie in different components."""
-    tagged = cut_lineage(_open(shared, found).join(sets.select("key", "n"), "key").select("sig", "key", "part", "n"))
-    other = tagged.select("sig", F.col("key").alias("b"), F.col("part").alias("bpart"), F.col("n").alias("bn"))
-    return (
-        tagged.join(other, "sig")
+    """Pairs that share a signature, may be linked and still lie in different components."""
+    tagged = cut_lineage(_open(shared, found).select("sig", "key", "part"))
+    counts = tagged.groupBy("sig").agg(F.count("*").alias("members"))
+    sized = cut_lineage(tagged.join(counts, "sig").join(sets.select("key", "n"), "key"))
+    few = sized.where(F.col("members") <= SMALL_GROUP)
+    other = few.select("sig", F.col("key").alias("b"), F.col("part").alias("bpart"), F.col("n").alias("bn"))
+    joined = (
+        few.join(other, "sig")
         .where((F.col("key") < F.col("b")) & (F.col("part") != F.col("bpart")))
         .where(F.least("n", "bn") * 100 >= F.greatest("n", "bn") * PERCENT)
         .select(F.col("key").alias("a"), "b")
-        .distinct()
     )
+    blocks = F.ceil(F.col("members") / SKETCH_BLOCK).cast("int")
+    block = F.pmod(F.xxhash64("key"), blocks).cast("int")
+    many = (
+        sized.where(F.col("members") > SMALL_GROUP).withColumn("block", block)
+        .withColumn("against", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        .join(sets.select("key", "sketch"), "key")
+        .select("sig", F.least("block", "against").alias("i"), F.greatest("block", "against").alias("j"), "block", "key", "part", "n", "sketch")
+    )
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        i, j = group["i"].iloc[0], group["j"].iloc[0]
+        left = group[group["block"] == i]
+        right = left if i == j else group[group["block"] == j]
+        if not len(left) or not len(right):
+            return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
+        return _near_in_blocks(left, right, i == j)
+
+    return joined.union(many.groupBy("sig", "i", "j").applyInPandas(compare, "a long, b long")).distinct()

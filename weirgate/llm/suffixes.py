@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirgate.llm.common import filled
+from weirgate.llm.common import filled, sized_side, written
 from weirgate.llm.parity import mix64
 from weirgate.session import cut_lineage
 
@@ -49,8 +49,8 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
     return mix64(out)
 
 
-def owners(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, anchor, first window, windows) of each run of windows with one owner."""
+def owners(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, first window, windows) of each run of windows with one owner."""
     windows = len(data) - length + 1
     hashes = gram_hashes(data)
     packed = (hashes & np.uint64(~((1 << BLOCK_BITS) - 1) & (1 << 64) - 1)) | np.arange(len(hashes), dtype=np.uint64)
@@ -63,7 +63,7 @@ def owners(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.nd
         packed = np.minimum(packed[: len(packed) - rest], packed[rest:])
     anchor = (packed[:windows] & np.uint64((1 << BLOCK_BITS) - 1)).astype(np.int64)
     first = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1])))
-    return hashes[anchor[first]].view(np.int64), anchor[first], first, np.diff(np.append(first, windows))
+    return hashes[anchor[first]].view(np.int64), first, np.diff(np.append(first, windows))
 
 
 def _blocks(raw: bytes, length: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -73,31 +73,26 @@ def _blocks(raw: bytes, length: int) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def anchors(df: DataFrame, length: int) -> DataFrame:
-    """(doc, hash, anchor, start, windows) of every text in ``_w_raw``."""
-    names = ["doc", "hash", "anchor", "start", "windows"]
+    """(doc, hash, start, windows) of every text in ``_w_raw``."""
+    names = ["doc", "hash", "start", "windows"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = [[], [], [], []]
+        rows = 0
         for batch in batches:
             for doc, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
-                raw = raw.as_py()
-                for at, data in _blocks(raw, length):
-                    hashes, anchor, start, windows = owners(data, length)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(hashes), doc)), pa.array(hashes), pa.array(anchor + at),
-                         pa.array(start + at), pa.array(windows.astype(np.int32))], names=names)
-
-    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, rows = [], 0
-        for batch in run(batches):
-            held.append(batch)
-            rows += batch.num_rows
-            if rows >= 50_000:
-                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-                held, rows = [], 0
-        if held:
-            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-
-    return df.select("doc", "_w_raw").mapInArrow(joined, "doc long, hash long, anchor long, start long, windows int")
+                for at, data in _blocks(raw.as_py(), length):
+                    hashes, start, windows = owners(data, length)
+                    for column, values in zip(held, (np.full(len(hashes), doc), hashes, start + at, windows)):
+                        column.append(values)
+                    rows += len(hashes)
+                    if rows >= 50_000:
+                        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in held], names=names)
+                        held, rows = [[], [], [], []], 0
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in held], names=names)
+
+    return df.select("doc", "_w_raw").mapInArrow(run, "doc long, hash long, start long, windows long")
 
 
 def suffix_order(data: np.ndarray, ends: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -289,28 +284,33 @@ def removed_spans(texts: DataFrame, length: int) -> DataFrame:
     half = F.shiftright("hash", 32).cast("int")
     often = rows.groupBy(half.alias("_w_half")).agg(F.count("*").alias("n")).where("n > 1").select("_w_half")
     found = rows.join(often, half == often["_w_half"]).select("doc", "hash", "start", "windows")
-    stretches = _stretches(found, long_enough, length)
+    named = written(_stretches(found, long_enough, length)).withColumn("digest", F.md5("body"))
     # Equal stretches of an anchor: all but the earliest are repeated as a whole.
-    named = cut_lineage(stretches)
-    leaders = named.groupBy("hash", "body").agg(F.min(F.struct("doc", "start")).alias("first"))
+    leaders = cut_lineage(
+        named.groupBy("hash", "digest")
+        .agg(F.min(F.struct("doc", "start")).alias("first"), F.max(F.octet_length("body")).alias("size"))
+        .select("hash", "digest", "first.*", "size")
+    )
+    earliest = leaders.select("hash", "digest", F.col("doc").alias("_w_doc"), F.col("start").alias("_w_start"))
     members = (
-        named.join(leaders.withColumn("_w_of", F.lit(1)), ["hash", "body"])
-        .where((F.col("doc") != F.col("first.doc")) | (F.col("start") != F.col("first.start")))
-        .select("doc", F.col("start").alias("a"), (F.col("start") + F.octet_length("body")).alias("b"))
+        named.select("hash", "digest", "doc", "start", F.octet_length("body").alias("size"))
+        .join(earliest, ["hash", "digest"])
+        .where((F.col("doc") != F.col("_w_doc")) | (F.col("start") != F.col("_w_start")))
+        .select("doc", F.col("start").alias("a"), (F.col("start") + F.col("size")).alias("b"))
     )
-    alone = leaders.select("hash", "first.doc", "first.start", "body")
-    per_hash = leaders.groupBy("hash").agg(F.count("*").alias("n"), F.sum(F.octet_length("body")).alias("size"))
-    several = cut_lineage(per_hash.where("n > 1"))
-    total = several.agg(F.sum("size").alias("s")).first()["s"] or 0
+    several = leaders.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1")
+    open_ones = leaders.join(several, "hash")
+    total = open_ones.agg(F.sum("size").alias("s")).first()["s"] or 0
     shards = max(1, -(-total // SHARD_BYTES))
     pieces = F.ceil(F.col("n") / SHARD_STRETCHES).cast("int")
-    sharded = alone.join(several.select("hash", pieces.alias("pieces")), "hash").select(
-        "doc", "start", "body",
-        (F.col("pieces") > 1).alias("split"),
-        F.when(F.col("pieces") > 1, F.xxhash64("hash", F.pmod(F.xxhash64("body"), F.col("pieces"))))
+    placed = open_ones.select(
+        "hash", "digest", "doc", "start",
+        (F.col("n") > SHARD_STRETCHES).alias("split"),
+        F.when(F.col("n") > SHARD_STRETCHES, F.xxhash64("hash", F.pmod(F.xxhash64("digest"), pieces)))
         .otherwise(F.pmod(F.xxhash64("hash"), F.lit(shards)))
         .alias("shard"),
     )
+    sharded = named.join(placed, ["hash", "digest", "doc", "start"]).select("doc", "start", "body", "split", "shard")
     solved = cut_lineage(sharded.groupBy("split", "shard").applyInPandas(_shard(length), SPANS))
     merged = _merge(solved.where(F.col("window").isNotNull()), length)
     return members.union(solved.where(F.col("window").isNull()).select("doc", "a", "b")).union(merged)
@@ -347,23 +347,25 @@ def drop_repeats(df: DataFrame, id: str = "doc_id", text: str = "text", length:
     same result. Extra columns are not read. An empty table gives an empty table.
     """
     rows = df.select(F.col(f"`{id}`").cast("long").alias("doc"), filled(text).cast("binary").alias("_w_raw"))
-    digest = F.md5("_w_raw")
+    keyed = rows.withColumn("digest", F.md5("_w_raw"))
+    thin = cut_lineage(
+        keyed.where(F.col("doc").isNotNull()).select("doc", "digest", F.octet_length("_w_raw").cast("long").alias("size"))
+        .distinct()
+    )
+    own = thin.groupBy("doc").agg(F.min(F.struct("digest", "size")).alias("x")).select("doc", "x.*")
     # Equal texts: the first stands for all; of the others everything is repeated.
-    firsts = cut_lineage(
-        rows.where(F.col("doc").isNotNull()).select("doc", digest.alias("digest"), F.octet_length("_w_raw").alias("size"))
-        .groupBy("doc").agg(F.min(F.struct("digest", "size")).alias("x")).select("doc", "x.*")
+    leaders = own.groupBy("digest").agg(F.min("doc").alias("leader"))
+    copies = own.join(leaders, "digest").where(F.col("leader") != F.col("doc")).select("doc", "digest", "size")
+    others = thin.join(own, ["doc", "digest"], "left_anti").select("doc", "digest")
+    left_out = sized_side(copies.select("doc", "digest").union(others), F.lit(56))
+    texts = keyed.where(F.col("doc").isNotNull()).join(left_out, ["doc", "digest"], "left_anti").select("doc", "_w_raw")
+    whole = copies.where(F.col("size") >= length).select("doc", F.lit(0).cast("long").alias("a"), F.col("size").alias("b"))
+    merged = removed_spans(texts, length).union(whole).groupBy("doc").agg(
+        F.array_distinct(F.collect_list(F.struct("a", "b"))).alias("runs")
     )
-    leaders = firsts.groupBy("digest").agg(F.min("doc").alias("leader"))
-    named = cut_lineage(firsts.join(leaders, "digest").select("doc", "digest", "size", "leader"))
-    own = named.where(F.col("leader") == F.col("doc")).select("doc", "digest")
-    keyed = rows.withColumn("digest", digest)
-    texts = keyed.join(own, ["doc", "digest"]).dropDuplicates(["doc"]).select("doc", "_w_raw")
-    spans = removed_spans(texts, length)
-    copies = named.where((F.col("leader") != F.col("doc")) & (F.col("size") >= length)).select(
-        "doc", F.lit(0).cast("long").alias("a"), F.col("size").cast("long").alias("b")
+    marked = sized_side(
+        merged.join(own.select("doc", "digest"), "doc"), F.size("runs") * 16 + 64
     )
-    merged = spans.union(copies).groupBy("doc").agg(F.collect_list(F.struct("a", "b")).alias("runs"))
-    marked = merged.join(named.select("doc", "digest"), "doc")
     both = keyed.join(marked, ["doc", "digest"], "left").select("doc", "_w_raw", "runs")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
