@@ -183,7 +183,8 @@ def repeated_windows(
     offsets = np.concatenate(([0], np.cumsum(sizes)))
     stretch = np.repeat(np.arange(len(bodies)), sizes)
     ends = offsets[1:][stretch]
-    order, _ = suffix_order(data, ends, length)
+    # Sorted to the end of every stretch: Kasai's rule needs the true order.
+    order, _ = suffix_order(data, ends, int(sizes.max()))
     shared = common_prefixes(data, offsets[:-1], ends, order, length)
     inside = np.arange(len(data)) - offsets[:-1][stretch]
     whole = ends - np.arange(len(data)) >= length
