@@ -202,6 +202,8 @@ def _spans(docs: np.ndarray, windows: np.ndarray, length: int) -> pd.DataFrame:
     """Byte spans that runs of removed windows cover."""
     order = np.lexsort((windows, docs))
     docs, windows = docs[order], windows[order]
+    if not len(docs):
+        return pd.DataFrame({"doc": docs, "a": windows, "b": windows})
     new = np.ones(len(docs), dtype=bool)
     new[1:] = (docs[1:] != docs[:-1]) | (windows[1:] > windows[:-1] + 1)
     last = np.append(new[1:], True)
