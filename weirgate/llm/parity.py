@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weirgate.llm.common import BROADCAST_BYTES, STEP_CHARS, filled, map_texts
-from weirgate.llm.graph import components
+from weirgate.llm.graph import components, tasks_for
 from weirgate.session import cut_lineage
 
 WORDS = 5
@@ -247,14 +247,16 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         .select("a", "b")
     )
     near = cut_lineage(near)
+    rows = near.count()
+    near = near.coalesce(tasks_for(rows))
     # The few pairs go to the sets where their measured size allows, not the sets to the pairs.
-    side = F.broadcast(near) if near.count() * PAIR_BYTES <= BROADCAST_BYTES else near
+    side = F.broadcast(near) if rows * PAIR_BYTES <= BROADCAST_BYTES else near
     shared = F.size(F.array_intersect("ash", "bsh"))
     return cut_lineage(
         left.select("a", "an", "ash").join(side, "a")
         .join(right.select("b", "bn", "bsh").join(side, "b"), ["a", "b"])
         .where(shared * 100 >= PERCENT * (both - shared))
-        .select("a", "b")
+        .select("a", "b").coalesce(tasks_for(rows))
     )
 
 
@@ -288,7 +290,9 @@ def similar_components(df: DataFrame, id: str = "doc_id", text: str = "text") ->
     shared = cut_lineage(
         _repeated(emitted.where(~F.col("hot"))).union(emitted.where("hot").select("sig", "key")).distinct()
     )
-    live = shared.select("key").distinct().join(nodes, "key")
+    tasks = tasks_for(shared.count())
+    shared = shared.coalesce(tasks)
+    live = shared.select("key").distinct().coalesce(tasks).join(nodes, "key")
 
     def make_sets():
         shingler = Shingler()
@@ -315,18 +319,18 @@ def similar_components(df: DataFrame, id: str = "doc_id", text: str = "text") ->
             shared.join(centres.where("lo <> hi").select("sig", "centre"), "sig")
             .where(F.col("key") != F.col("centre"))
             .select(F.least("key", "centre").alias("a"), F.greatest("key", "centre").alias("b"))
-            .distinct()
+            .distinct().coalesce(tasks)
         )
 
     links = _links(star(F.min), sets)
     found = components(links)
     for number in range(HUB_ROUNDS):
-        more = _links(_hub_pairs(shared, found, number), sets)
+        more = _links(_hub_pairs(shared, found, number).coalesce(tasks), sets)
         if more.isEmpty():
             break
         links = cut_lineage(links.union(more))
         found = components(links)
-    rest = _links(_open_pairs(shared, found, sets), sets)
+    rest = _links(_open_pairs(shared, found, sets, tasks), sets)
     if not rest.isEmpty():
         found = components(links.union(rest))
     named = thin.join(found, thin["key"] == found["node"], "left").withColumn(
@@ -389,11 +393,11 @@ def _near_in_blocks(left: pd.DataFrame, right: pd.DataFrame, same: bool) -> pd.D
     return pd.concat(out, ignore_index=True)
 
 
-def _open_pairs(shared: DataFrame, found: DataFrame, sets: DataFrame) -> DataFrame:
+def _open_pairs(shared: DataFrame, found: DataFrame, sets: DataFrame, tasks: int) -> DataFrame:
     """Pairs that share a signature, may be linked and still lie in different components."""
-    tagged = cut_lineage(_open(shared, found).select("sig", "key", "part"))
+    tagged = cut_lineage(_open(shared, found).select("sig", "key", "part").coalesce(tasks))
     counts = tagged.groupBy("sig").agg(F.count("*").alias("members"))
-    sized = cut_lineage(tagged.join(counts, "sig").join(sets.select("key", "n"), "key"))
+    sized = cut_lineage(tagged.join(counts, "sig").join(sets.select("key", "n"), "key").coalesce(tasks))
     few = sized.where(F.col("members") <= SMALL_GROUP)
     other = few.select("sig", F.col("key").alias("b"), F.col("part").alias("bpart"), F.col("n").alias("bn"))
     joined = (
@@ -419,4 +423,4 @@ def _open_pairs(shared: DataFrame, found: DataFrame, sets: DataFrame) -> DataFra
             return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
         return _near_in_blocks(left, right, i == j)
 
-    return joined.union(many.groupBy("sig", "i", "j").applyInPandas(compare, "a long, b long")).distinct()
+    return joined.union(many.groupBy("sig", "i", "j").applyInPandas(compare, "a long, b long")).distinct().coalesce(tasks)
