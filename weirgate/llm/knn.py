@@ -154,9 +154,9 @@ def top_k(
     total = data.count()
     count = int(min(MAX_PIVOTS, max(1, np.sqrt(total))))
     chosen = data.orderBy(F.xxhash64("vid"), "vid", "v").limit(count).collect()
-    pivots = np.array([r["v"] for r in chosen], dtype=np.float64).reshape(len(chosen), -1)
     if not total:
         return df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    pivots = np.array([r["v"] for r in chosen], dtype=np.float64)
     assigned = cut_lineage(_assign(data, pivots))
     radius, sizes = np.zeros(len(pivots)), np.zeros(len(pivots), dtype=np.int64)
     for row in assigned.groupBy("cell").agg(F.count("*").alias("n"), F.max("away").alias("r")).collect():
