@@ -129,6 +129,22 @@ def capture_facts(records: DataFrame, by: list[str], expected_feature_count: int
     return facts_of_marks(record_marks(records, by, expected_feature_count), by, by)
 
 
+def with_read_paths(facts: DataFrame, lines: DataFrame, path: str = "capture_path") -> DataFrame:
+    """Facts with a row of zero records for every path that was read but holds no record.
+
+    A path whose lines are blank or no objects was retrieved; only a path without any line
+    is missing.
+    """
+    empty = lines.select(path).distinct().join(facts, path, "left_anti").select(
+        path,
+        F.lit(0).cast("long").alias("record_count"),
+        F.lit(False).alias("schema_consistent"),
+        F.lit(0).cast("long").alias("predictions"),
+        F.lit(0.0).alias("max_single_class_share"),
+    )
+    return facts.unionByName(empty)
+
+
 # --- evidence --------------------------------------------------------------------------
 
 

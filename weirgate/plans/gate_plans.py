@@ -232,6 +232,11 @@ def capture_facts_of(spark, sf):
     return capture.capture_facts(_records(spark, sf), ["capture_path"], CONFIG.expected_feature_count)
 
 
+def read_facts_of(spark, sf):
+    """Facts of every path that was read, with or without records."""
+    return capture.with_read_paths(capture_facts_of(spark, sf), capture_lines(spark, sf).withColumnRenamed("path", "capture_path"))
+
+
 @plans.query(
     "capture_scan",
     f"""WITH {CAPTURE_SQL}
@@ -292,7 +297,7 @@ _CAPTURE_CASE = """CASE WHEN coalesce(capture_path, '') = '' THEN 'not_configure
 )
 def capture_status(spark, sf):
     targets = derived(spark, sf, "releases").selectExpr("release_id", "deployment_capture_path AS capture_path")
-    rows = gates.capture_status(targets, capture_facts_of(spark, sf), CONFIG)
+    rows = gates.capture_status(targets, read_facts_of(spark, sf), CONFIG)
     return rows.select("release_id", "capture_path", "observed_capture_status", "capture_record_count")
 
 
@@ -333,7 +338,7 @@ _MONITOR_COLUMNS = [
 
 
 def monitored(spark, sf):
-    return gates.monitor_status(derived(spark, sf, "releases"), capture_facts_of(spark, sf), CONFIG)
+    return gates.monitor_status(derived(spark, sf, "releases"), read_facts_of(spark, sf), CONFIG)
 
 
 @plans.query("monitor_status", f"WITH {MONITOR_SQL} SELECT {', '.join(_MONITOR_COLUMNS)} FROM monitored")

@@ -246,7 +246,7 @@ def trial_sample(spark, sf):
     "winner_config",
     """SELECT o_orderkey AS sweep_id, CASE o_orderkey % 3 WHEN 0 THEN 'rf' WHEN 1 THEN 'logreg' ELSE 'xgboost' END AS models,
               concat('C=', CASE WHEN o_orderkey % 2 = 0 THEN concat('float:', o_custkey, '.5') ELSE concat('int:', o_custkey) END,
-                     ',flag=bool:true,min_samples_split=int:', greatest(o_orderkey % 4, 2), ',tol=text:1e-3') AS hyperparameters,
+                     ',flag=bool:true,min_samples_split=int:', greatest(o_orderkey % 15, 2), ',tol=text:1e-3') AS hyperparameters,
               'balanced' AS class_weight, CAST(42 AS BIGINT) AS random_state, o_orderkey % 2 = 0 AS use_smote
        FROM orders""",
 )
@@ -260,7 +260,7 @@ def winner_config(spark, sf):
         F.expr(
             f"map(concat({family}, '_C'), CASE WHEN o_orderkey % 2 = 0 THEN concat(o_custkey, '.5') ELSE CAST(o_custkey AS STRING) END,"
             f" concat({family}, '_flag'), ' TRUE ', concat({family}, '_tol'), '1e-3',"
-            f" concat({family}, '_min_samples_split'), CAST(o_orderkey % 4 AS STRING),"
+            f" concat({family}, '_min_samples_split'), CAST(o_orderkey % 15 AS STRING),"
             " 'svm_C', '9', 'class_weight', 'balanced', 'random_state', '42',"
             " 'use_smote', CASE WHEN o_orderkey % 2 = 0 THEN 'Yes' ELSE 'off' END)"
         ).alias("params"),
@@ -270,7 +270,7 @@ def winner_config(spark, sf):
         "hyperparameters",
         lambda k, v: F.concat(
             v["kind"], F.lit(":"),
-            F.when((k == "min_samples_split") & (v["value"] < "2"), "2").otherwise(v["value"]),
+            F.when((k == "min_samples_split") & (v["value"].try_cast("double") < 2), "2").otherwise(v["value"]),
         ),
     )
     return config.select(
