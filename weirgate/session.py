@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -55,10 +57,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+# Spark's own switch: a finished job's shuffle files go at once, not with the driver's garbage.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """Jobs whose whole result is stored inside; nothing reads their shuffles afterwards."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: computed once, survives executor loss, read by every later branch."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    with shuffles_released(df.sparkSession):
+        return df.checkpoint(eager=True)
 
 
 def small_side(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
