@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from weirgate.operators.ordered import range_buckets
-from weirgate.session import cut_lineage, ensure_checkpoint_dir
+from weirgate.session import cut_lineage, ensure_checkpoint_dir, shuffles_released
 
 # Texts handed to one vectorised call hold about this many characters, so that a worker's
 # memory follows this number and its longest single text, not the table.
@@ -107,7 +107,8 @@ def written(df: DataFrame) -> DataFrame:
     """The frame as a compressed table in the shared checkpoint folder, read back."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with shuffles_released(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
