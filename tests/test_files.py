@@ -90,6 +90,12 @@ def test_captures_are_written_once(spark, tmp_path):
         sinks.write_captures(records, path)
     sinks.write_captures(records.withColumn("request_id", F.lit("r2")), path)
     assert spark.read.json(path).count() == 2
+    later = records.withColumn("timestamp_utc", F.col("timestamp_utc") + F.expr("INTERVAL 3 DAYS"))
+    # Another day is another folder, so the same id may come again there, and then not twice.
+    sinks.write_captures(later, path)
+    with pytest.raises(FileExistsError, match="captured before"):
+        sinks.write_captures(later, path)
+    assert spark.read.json(path).count() == 3
 
 
 def test_capture_files_are_found_below_a_root(spark, tmp_path):

@@ -129,9 +129,9 @@ def test_reuse_needs_the_same_lineage(spark):
         [("m", "9", tags), ("m", "10", tags), ("m", "11", tags | {"source_job_name": "other"}), ("m", "12", tags | {"data_config": "x"}),
          ("m", "13", tags | {"lineage_status": "failed"})], MODEL)
     wanted = "release_id long, name string, source_job_name string, data_config string, train_config string, model_name string"
-    releases = spark.createDataFrame([(1, "m", "j", "d", "t", "rf"), (2, "m", "j", None, None, None), (3, "m", "j", "d", "t", "svm")], wanted)
+    releases = spark.createDataFrame([(1, "m", "j", "d", "t", "rf"), (2, "m", "j", None, None, None), (3, "m", "j", "d", "t", "svm"), (4, "m", "j", "d", "t", "")], wanted)
     got = {r.release_id: r.version for r in registry.reusable_versions(releases, models).collect()}
-    assert got == {1: "10", 2: "12"}
+    assert got == {1: "10", 2: "12", 4: "10"}
 
 
 def test_promotion_limits_are_inclusive(spark):

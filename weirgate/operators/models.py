@@ -265,7 +265,7 @@ def run_trials(
             metrics = evaluate_model(model, test, prepared.target).first().asDict()
             return (trial_id, family, "finished", {m: metrics[m] for m in METRIC_NAMES}, None)
         except Exception as error:  # noqa: BLE001 - one bad trial must not end the search
-            return (trial_id, family, "failed", {}, f"{type(error).__name__}: {error}"[:500])
+            return (trial_id, family, "failed", {}, f"{type(error).__name__}: {error}")
 
     with ThreadPoolExecutor(max_concurrent) as pool:
         rows = list(pool.map(one, trials))

@@ -54,7 +54,8 @@ def reusable_versions(releases: DataFrame, models: DataFrame) -> DataFrame:
     """Newest approved version that matches each release's lineage.
 
     ``releases``: release_id, name, source_job_name, data_config, train_config,
-    model_name; the last three are compared only where not NULL. Versions that agree on
+    model_name; the last three are compared only where not NULL, and the model only where
+    not empty either. Versions that agree on
     everything compared are folded to the newest first, so a model with very many
     versions does not multiply the join.
     """
@@ -80,7 +81,8 @@ def reusable_versions(releases: DataFrame, models: DataFrame) -> DataFrame:
         return F.col(wanted).isNull() | F.coalesce(F.col(wanted) == F.col(tagged), F.lit(False))
 
     matched = releases.join(folded, ["name", "source_job_name"]).where(
-        agrees("data_config", "m_data") & agrees("train_config", "m_train") & agrees("model_name", "m_model")
+        agrees("data_config", "m_data") & agrees("train_config", "m_train")
+        & ((F.col("model_name") == "") | agrees("model_name", "m_model"))
     )
     return matched.groupBy("release_id", "name").agg(F.max("version").cast("string").alias("version"))
 

@@ -55,22 +55,25 @@ def write_captures(records: DataFrame, path: str, refuse_existing: bool = True)
     """Append capture records as JSON lines under date, endpoint and deployment.
 
     With ``refuse_existing`` a request id that is already there fails the write, before
-    anything is written. Only the partitions the new records fall into are looked at.
+    anything is written. Only the days of the new records are read for that.
     """
     laid_out = capture_layout(records)
     if refuse_existing and path_exists(records.sparkSession, path):
         old = records.sparkSession.read.schema(
             "request_id string, year string, month string, day string, endpoint string, deployment string"
         ).json(path)
+        # As many texts as the batch has days; a filter on partition columns prunes the folders.
+        day = F.concat_ws("-", "year", "month", "day")
+        days = [r["d"] for r in laid_out.select(day.alias("d")).distinct().collect()]
+        old = old.where(day.isin(days))
         again = laid_out.select(*CAPTURE_PARTITIONS, "request_id").join(
             old, [*CAPTURE_PARTITIONS, "request_id"], "left_semi"
         )
         clash = again.limit(1).collect()
         if clash:
             raise FileExistsError(f"request {clash[0].request_id} was captured before")
-    # Records of one partition meet in few files; a busy deployment is spread by request.
-    spread = F.pmod(F.xxhash64("request_id"), F.lit(8))
-    laid_out.repartition(*CAPTURE_PARTITIONS, spread).write.mode("append").partitionBy(*CAPTURE_PARTITIONS).json(path)
+    # Records of one partition meet in few files; adaptive execution splits a busy deployment by size.
+    laid_out.hint("rebalance", *CAPTURE_PARTITIONS).write.mode("append").partitionBy(*CAPTURE_PARTITIONS).json(path)
 
 
 def append_summary(summary: DataFrame, path: str, run_id: str, kind: str) -> None:
