@@ -69,17 +69,27 @@ def parse_capture_lines(lines: DataFrame, strict: bool = True) -> DataFrame:
     )
 
 
-def capture_rejects(lines: DataFrame) -> DataFrame:
-    """How many lines were blank, no JSON, or no object."""
-    text = F.trim("line")
+def _reading(line: Column) -> Column:
+    """``accepted``, or why a line is no record."""
+    text = F.trim(line)
     v = F.try_parse_json(text)
-    reason = (
+    return (
         F.when(text == "", "blank")
         .when(v.isNull(), "not_json")
         .when(~F.startswith(F.schema_of_variant(v), F.lit("OBJECT")), "not_object")
         .otherwise("accepted")
     )
-    return lines.groupBy(reason.alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def capture_rejects(lines: DataFrame) -> DataFrame:
+    """How many lines were blank, no JSON, or no object."""
+    return lines.groupBy(_reading(F.col("line")).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def unreadable_lines(lines: DataFrame) -> DataFrame:
+    """The lines that are no JSON or no object, with the ``reason``; blank and null lines are left out."""
+    told = lines.where(F.col("line").isNotNull()).withColumn("reason", _reading(F.col("line")))
+    return told.where(F.col("reason").isin("not_json", "not_object"))
 
 
 def prediction_distribution(records: DataFrame, by: list[str]) -> DataFrame:
