@@ -292,7 +292,11 @@ def similar_components(df: DataFrame, id: str = "doc_id", text: str = "text") ->
     )
     tasks = tasks_for(shared.count())
     shared = shared.coalesce(tasks)
-    live = shared.select("key").distinct().coalesce(tasks).join(nodes, "key")
+    live = cut_lineage(shared.select("key").distinct().coalesce(tasks).join(nodes, "key"))
+    rows_live = live.count()
+    live = live.coalesce(tasks_for(rows_live))
+    # The wanted ids go to the texts where their measured size allows, so that no text is shuffled.
+    side = F.broadcast(live) if rows_live * PAIR_BYTES <= BROADCAST_BYTES else live
 
     def make_sets():
         shingler = Shingler()
@@ -306,10 +310,10 @@ def similar_components(df: DataFrame, id: str = "doc_id", text: str = "text") ->
 
         return run
 
-    wanted = rows.join(live.select("doc_id"), "doc_id").select("_w_text")
+    wanted = rows.join(side.select("doc_id"), "doc_id").select("_w_text")
     sets = cut_lineage(
         map_texts(wanted, "_w_text", make_sets, "key long, n long, sketch array<long>, shingles array<long>", [])
-        .join(live.select("key"), "key", "left_semi")
+        .join(side.select("key"), "key", "left_semi")
         .dropDuplicates(["key"])
     )
 
