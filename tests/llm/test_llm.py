@@ -65,6 +65,18 @@ def test_repeats_match_brute_force(odd, odd_rows, none, spark):
     assert suffixes.drop_repeats(unlike_ids(spark, odd_rows)).count() == 10
 
 
+def test_repeated_rows_take_part_once(spark):
+    rng = random.Random(9)
+    passage = words(rng, 60, 10**6)
+    rows = [(i, words(rng, 40, 10**6) + passage + words(rng, 40, 10**6)) for i in range(4)]
+    wanted = brute.repeats(rows)
+    df = spark.createDataFrame([*rows, rows[0], rows[2], rows[2], (9, None), (9, None)], "doc_id long, text string")
+    found = suffixes.drop_repeats(df).collect()
+    assert Counter(r["doc_id"] for r in found) == {0: 2, 1: 1, 2: 3, 3: 1, 9: 2}
+    for row in found:
+        assert tuple(row)[1:] == (wanted[row["doc_id"]] if row["doc_id"] != 9 else brute.repeats([(9, None)])[9])
+
+
 def test_repeats_across_split_shards(odd, odd_rows, monkeypatch):
     monkeypatch.setattr(suffixes, "SHARD_STRETCHES", 4)
     monkeypatch.setattr(suffixes, "SHARD_BYTES", 2000)

@@ -352,16 +352,22 @@ def drop_repeats(df: DataFrame, id: str = "doc_id", text: str = "text", length:
     rows = df.select(F.col(f"`{id}`").cast("long").alias("doc"), filled(text).cast("binary").alias("_w_raw"))
     keyed = rows.withColumn("digest", F.md5("_w_raw"))
     thin = cut_lineage(
-        keyed.where(F.col("doc").isNotNull()).select("doc", "digest", F.octet_length("_w_raw").cast("long").alias("size"))
-        .distinct()
+        keyed.where(F.col("doc").isNotNull())
+        .groupBy("doc", "digest", F.octet_length("_w_raw").cast("long").alias("size")).agg(F.count("*").alias("n"))
     )
     own = thin.groupBy("doc").agg(F.min(F.struct("digest", "size")).alias("x")).select("doc", "x.*")
     # Equal texts: the first stands for all; of the others everything is repeated.
     leaders = own.groupBy("digest").agg(F.min("doc").alias("leader"))
     copies = own.join(leaders, "digest").where(F.col("leader") != F.col("doc")).select("doc", "digest", "size")
     others = thin.join(own, ["doc", "digest"], "left_anti").select("doc", "digest")
-    left_out = sized_side(copies.select("doc", "digest").union(others), F.lit(56))
-    texts = keyed.where(F.col("doc").isNotNull()).join(left_out, ["doc", "digest"], "left_anti").select("doc", "_w_raw")
+    left_out = copies.select("doc", "digest").union(others)
+    # A repeated row takes part once: removed_spans needs doc to be unique.
+    again = cut_lineage(thin.where("n > 1").select("doc", "digest").join(left_out, ["doc", "digest"], "left_anti"))
+    aside = sized_side(left_out.union(again), F.lit(56))
+    texts = keyed.where(F.col("doc").isNotNull()).join(aside, ["doc", "digest"], "left_anti").select("doc", "_w_raw")
+    if not again.isEmpty():
+        once = keyed.join(sized_side(again, F.lit(56)), ["doc", "digest"], "left_semi").dropDuplicates(["doc", "digest"])
+        texts = texts.union(once.select("doc", "_w_raw"))
     whole = copies.where(F.col("size") >= length).select("doc", F.lit(0).cast("long").alias("a"), F.col("size").alias("b"))
     merged = removed_spans(texts, length).union(whole).groupBy("doc").agg(
         F.array_distinct(F.collect_list(F.struct("a", "b"))).alias("runs")
