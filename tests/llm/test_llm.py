@@ -258,6 +258,28 @@ def test_top_scores_match_brute_force(spark):
     assert [tuple(r) for r in knn.top_k(few).collect()] == [(0, 1, 1, 256 * 512)]
 
 
+def test_top_scores_bound_the_queries_of_a_task(spark, monkeypatch):
+    monkeypatch.setattr(knn, "QUERY_ROWS", 40, raising=False)
+    monkeypatch.setattr(knn, "BLOCK_ROWS", 100)
+    solve, most = knn._solve, 80
+
+    def checked(k):
+        run = solve(k)
+
+        def bounded(queries, data):
+            assert len(queries) <= most, f"{len(queries)} queries in one task"
+            return run(queries, data)
+
+        return bounded
+
+    monkeypatch.setattr(knn, "_solve", checked)
+    rng = random.Random(3)
+    rows = [(i, [1.0, 0.5]) for i in range(250)] + [(i, [rng.uniform(-1, 1), rng.uniform(-1, 1)]) for i in range(250, 600)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = sorted(tuple(r) for r in knn.top_k(df, query_step=1).select("query_id", "rank", "vec_id", "score").collect())
+    assert found == brute.best_scores([(r["vec_id"], r["embedding"]) for r in df.collect()], step=1)
+
+
 def test_fingerprints(odd, odd_rows, none, spark):
     rows = {r["doc_id"]: r for r in fingerprints.edited_fingerprints(odd).collect()}
     texts = {r[0]: r[1] or "" for r in odd_rows}

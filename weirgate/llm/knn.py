@@ -5,7 +5,9 @@ Data vectors belong to the cell of their nearest pivot. From the summaries of th
 reach for certain; only cells whose upper bound reaches it get the query. By Cauchy and
 Schwarz, a score differs from the query's score with the pivot by at most the query's
 length times the vector's distance from the pivot. Cells are solved in blocks of bounded
-size, so a vector that a third of the rows hold makes many blocks, not a large one.
+size, so a vector that a third of the rows hold makes many blocks, not a large one. The
+queries routed to a cell are counted and cut into blocks too; a data block is sent once to
+each query block of its cell, and not at all where no query comes.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from weirgate.session import cut_lineage
 # Pivots are a hashed sample; their number follows the square root of the rows up to this.
 MAX_PIVOTS = 2048
 BLOCK_ROWS = 4096
+QUERY_ROWS = 4096
 # A larger component is left out with its vector: scores would leave the exact range.
 LARGEST = 1 << 24
 SLACK = 1e-9
@@ -75,46 +78,76 @@ def _floor_of(lower: np.ndarray, sizes: np.ndarray, k: int) -> np.ndarray:
     return np.where(reached.any(axis=1), floor, -np.inf)
 
 
-def _routes(queries: DataFrame, pivots: np.ndarray, radius: np.ndarray, sizes: np.ndarray, blocks: np.ndarray, k: int) -> DataFrame:
-    """(query id, v, cell, block) for every block of a cell that may hold one of the k best."""
+def _wanted(pivots: np.ndarray, radius: np.ndarray, sizes: np.ndarray, k: int):
+    """Function of a batch of queries: parts of it, and (row, cell) where a cell may hold one of the k best."""
     filled_cells = np.flatnonzero(sizes)
     centres, reach, number = pivots[filled_cells], radius[filled_cells], sizes[filled_cells]
 
+    def pairs(whole: pd.DataFrame) -> Iterator[tuple[pd.DataFrame, np.ndarray, np.ndarray]]:
+        for _, group in whole.groupby("cell"):
+            for at in range(0, len(group), 256):
+                batch = group.iloc[at : at + 256]
+                q = _matrix(batch["v"])
+                # Bounds of the whole group, from its middle and extent.
+                middle = q.mean(axis=0)
+                extent = np.sqrt(((q - middle) ** 2).sum(axis=1).max())
+                to_middle = (centres @ middle)[None, :]
+                length = np.sqrt(middle @ middle) + extent
+                spread = extent * np.sqrt((centres**2).sum(axis=1)) + length * reach
+                # k + 1: the query may find itself.
+                group_floor = _floor_of(to_middle - spread, number, k + 1)
+                near = np.flatnonzero((to_middle + spread)[0] >= group_floor[0] * (1 - np.sign(group_floor[0]) * SLACK) - SLACK)
+                # The remaining cells, query by query.
+                scores = q @ centres[near].T
+                slack = np.sqrt((q**2).sum(axis=1))[:, None] * reach[None, near]
+                floor = _floor_of(scores - slack, number[near], k + 1)
+                wanted = scores + slack >= floor[:, None] - SLACK * np.abs(scores) - SLACK
+                row, cell = np.nonzero(wanted)
+                yield batch, row, filled_cells[near[cell]]
+
+    return pairs
+
+
+def _routed(queries: DataFrame, pairs, cells: int) -> np.ndarray:
+    """How many queries go to every cell. The routes are found again later: kept, they would
+    hold every query once per cell."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts = np.zeros(cells, dtype=np.int64)
         for whole in batches:
-            for _, group in whole.groupby("cell"):
-                for at in range(0, len(group), 256):
-                    batch = group.iloc[at : at + 256]
-                    q = _matrix(batch["v"])
-                    # Bounds of the whole group, from its middle and extent.
-                    middle = q.mean(axis=0)
-                    extent = np.sqrt(((q - middle) ** 2).sum(axis=1).max())
-                    to_middle = (centres @ middle)[None, :]
-                    length = np.sqrt(middle @ middle) + extent
-                    spread = extent * np.sqrt((centres**2).sum(axis=1)) + length * reach
-                    # k + 1: the query may find itself.
-                    group_floor = _floor_of(to_middle - spread, number, k + 1)
-                    near = np.flatnonzero((to_middle + spread)[0] >= group_floor[0] * (1 - np.sign(group_floor[0]) * SLACK) - SLACK)
-                    # The remaining cells, query by query.
-                    scores = q @ centres[near].T
-                    slack = np.sqrt((q**2).sum(axis=1))[:, None] * reach[None, near]
-                    floor = _floor_of(scores - slack, number[near], k + 1)
-                    wanted = scores + slack >= floor[:, None] - SLACK * np.abs(scores) - SLACK
-                    row, cell = np.nonzero(wanted)
-                    cell = filled_cells[near[cell]]
-                    times = blocks[cell]
-                    row, cell = np.repeat(row, times), np.repeat(cell, times)
-                    block = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
-                    for part in range(0, len(row), 20_000):
-                        pick = slice(part, part + 20_000)
-                        yield pd.DataFrame({
-                            "qid": batch["vid"].to_numpy()[row[pick]], "q": batch["v"].to_numpy()[row[pick]],
-                            "cell": cell[pick].astype("int32"), "block": block[pick].astype("int32"),
-                        })
+            for _, _, cell in pairs(whole):
+                counts += np.bincount(cell, minlength=cells)
+        some = np.flatnonzero(counts)
+        yield pd.DataFrame({"cell": some.astype("int32"), "n": counts[some]})
+
+    total = np.zeros(cells, dtype=np.int64)
+    for row in queries.mapInPandas(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
+        total[row["cell"]] = row["n"]
+    return total
+
+
+def _routes(queries: DataFrame, pairs, blocks: np.ndarray) -> DataFrame:
+    """(query id, q, cell, block) for every block of a cell that may hold one of the k best."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for whole in batches:
+            for batch, row, cell in pairs(whole):
+                times = blocks[cell]
+                row, cell = np.repeat(row, times), np.repeat(cell, times)
+                block = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
+                for part in range(0, len(row), 20_000):
+                    pick = slice(part, part + 20_000)
+                    yield pd.DataFrame({
+                        "qid": batch["vid"].to_numpy()[row[pick]], "q": batch["v"].to_numpy()[row[pick]],
+                        "cell": cell[pick].astype("int32"), "block": block[pick].astype("int32"),
+                    })
 
     return queries.mapInPandas(run, "qid long, q array<double>, cell int, block int")
 
 
+def _of_cell(numbers: np.ndarray):
+    """Column: the cell's entry in ``numbers``."""
+    return F.element_at(F.array(*[F.lit(int(n)) for n in numbers]), F.col("cell") + 1)
+
+
 def _solve(k: int):
     columns = ["query_id", "vec_id", "score"]
 
@@ -163,13 +196,22 @@ def top_k(
         # Rounding in the distances may not cost a vector.
         radius[row["cell"]], sizes[row["cell"]] = row["r"] * (1 + SLACK) + SLACK, row["n"]
     blocks = -(-sizes // BLOCK_ROWS)
-    number = F.element_at(F.array(*[F.lit(int(b)) for b in blocks]), F.col("cell") + 1)
-    spread = assigned.withColumn("block", F.pmod(F.xxhash64("vid", "v"), number).cast("int"))
     queries = assigned.where(F.col("vid") % query_step == 0)
-    routes = _routes(queries, pivots, radius, sizes, blocks, k)
+    pairs = _wanted(pivots, radius, sizes, k)
+    query_blocks = -(-_routed(queries, pairs, len(pivots)) // QUERY_ROWS)
+    spread = (
+        assigned.withColumn("parts", _of_cell(query_blocks)).where(F.col("parts") > 0)
+        .select(
+            "vid", "v", "cell", F.pmod(F.xxhash64("vid", "v"), _of_cell(blocks)).cast("int").alias("block"),
+            F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+        )
+    )
+    routes = _routes(queries, pairs, blocks).withColumn(
+        "part", F.pmod(F.xxhash64("qid", "q"), _of_cell(np.maximum(query_blocks, 1))).cast("int")
+    )
+    keys = ["cell", "block", "part"]
     partial = (
-        routes.groupBy("cell", "block")
-        .cogroup(spread.select("vid", "v", "cell", "block").groupBy("cell", "block"))
+        routes.groupBy(*keys).cogroup(spread.groupBy(*keys))
         .applyInPandas(_solve(k), "query_id long, vec_id long, score long")
     )
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
