@@ -238,6 +238,21 @@ def test_lines_of_a_site(spark, none):
     assert lines.line_dedup(none, "text", "source").count() == 0
 
 
+def test_lines_of_small_hosts(spark):
+    # One page, two, 9, and 60 with lines on 2, 3 and 4 of them.
+    rows = [("one", "menu\nmenu\nown")]
+    rows += [("two", f"menu\nown {i}") for i in range(2)]
+    rows += [("nine", f"menu\nown {i}" + ("\nrare" if i < 2 else "")) for i in range(9)]
+    rows += [("sixty", "\n".join([f"own {i}", *[f"on {n}" for n in (2, 3, 4) if i < n]])) for i in range(60)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "page long, site string, body string")
+    found = {r["page"]: r["body"] for r in lines.line_dedup(df, "body", "site").collect()}
+    for page, (site, body) in enumerate(rows):
+        pages = [set(b.split("\n")) for s, b in rows if s == site]
+        kept = [x for x in body.split("\n") if not (n := sum(x in p for p in pages)) > max(1, 0.05 * len(pages))]
+        assert found[page] == "\n".join(kept)
+    assert found[0] == "menu\nmenu\nown" and found[1] == "own 0" and found[12] == "own 0\non 2\non 3"
+
+
 def test_lines_by_salted_join(spark, monkeypatch):
     monkeypatch.setattr(lines, "BROADCAST_BYTES", 0)
     df = spark.createDataFrame([(i, f"menu\n{i}", "h") for i in range(20)], "page long, body string, site string")

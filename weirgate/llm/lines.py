@@ -9,6 +9,8 @@ from weirgate.session import cut_lineage
 
 # A host's boilerplate reaches its pages over this many salted copies of its row.
 SALTS = 16
+# A line of one page only is no boilerplate, however few pages the host has.
+LEAST_PAGES = 2
 BROADCAST_BYTES = 4 << 20
 
 
@@ -47,12 +49,14 @@ def boilerplate(df: DataFrame, ratio: float, min_pages: int) -> DataFrame:
 
 
 def line_dedup(
-    df: DataFrame, text: str, host: str, ratio: float = 0.05, min_pages: int = 10
+    df: DataFrame, text: str, host: str, ratio: float = 0.05, min_pages: int = LEAST_PAGES
 ) -> DataFrame:
     """Rows with boilerplate lines cut from ``text``, and ``n_lines``, ``n_dropped``.
 
-    A line goes when it stands on at least ``min_pages`` and on more than ``ratio`` of the
-    pages of its host; blank lines stay. A null text is empty (one blank line), a null host
+    A line goes when it stands on more than ``ratio`` of the pages of its host, and on at
+    least ``min_pages`` (2: every line of a lone page is on all pages); a larger floor
+    decides instead of ``ratio`` on hosts below ``min_pages / ratio`` pages. On a small host
+    the lines of equal pages go from all of them. Blank lines stay. A null text is empty (one blank line), a null host
     is a host of its own, a repeated row is a page like any other, and a page left without
     lines keeps its row with an empty text. Columns named ``n_lines`` or ``n_dropped`` are
     replaced; others pass through. An empty table gives an empty table.
