@@ -77,3 +77,26 @@ def test_auc_equals_pair_counting_with_ties(spark):
     positives, negatives = [s for y, s in rows if y], [s for y, s in rows if not y]
     wins = sum((p > n) + 0.5 * (p == n) for p in positives for n in negatives)
     assert abs(evaluate.roc_auc(df, "y", "s").first().roc_auc - wins / len(positives) / len(negatives)) < 1e-12
+
+
+def test_registered_training_uses_whole_models(spark, monkeypatch):
+    from weirgate.plans import model_plans
+
+    class Stop(Exception):
+        pass
+
+    seen = []
+
+    def taken(*args, **named):
+        seen.append((args, named))
+        raise Stop
+
+    monkeypatch.setattr(model_plans, "prepared_churn", lambda spark, sf: None)
+    monkeypatch.setattr(model_plans.models, "train_families", taken)
+    monkeypatch.setattr(model_plans.models, "run_trials", taken)
+    for name in ("train_families", "trial_results"):
+        with pytest.raises(Stop):
+            model_plans.plans.queries[name](spark, "/root/testdata/sf0.001")
+    assert seen[0] == ((None,), {})
+    trees = [int(own["n_estimators"]) for _, family, own in seen[1][0][1] if family == "rf"]
+    assert trees and set(trees) <= {100, 200, 300}

@@ -36,8 +36,7 @@ def train_logreg(spark, sf):
 
 @plans.query("train_families")
 def train_families(spark, sf):
-    small = {"rf": {"n_estimators": 20, "max_depth": 6}, "xgboost": {"n_estimators": 10, "max_depth": 4}}
-    results, _ = models.train_families(prepared_churn(spark, sf), params=small)
+    results, _ = models.train_families(prepared_churn(spark, sf))
     return _flat(results)
 
 
@@ -57,7 +56,7 @@ def trial_results(spark, sf):
         F.lit(1).alias("sweep_id"), "family",
         F.create_map(F.lit("use_smote"), F.array(F.lit("false"))).alias("shared"),
         F.expr(
-            "CASE family WHEN 'rf' THEN map('max_depth', transform(sequence(2, most), x -> CAST(x AS STRING)), 'n_estimators', array('5', '10'))"
+            "CASE family WHEN 'rf' THEN map('max_depth', transform(sequence(2, most), x -> CAST(x AS STRING)), 'n_estimators', array('100', '200', '300'))"
             " ELSE map('C', array('0.1', '1.0', '10.0')) END"
         ).alias("space"),
     )
