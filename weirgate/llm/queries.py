@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weirgate.llm import (
-    fingerprints, knn, lines, mixing, packing, parity, sharding, suffixes, tokens, toxicity,
+    conversations, fingerprints, knn, lines, mixing, packing, parity, periods, sharding, suffixes, tokens,
+    toxicity,
 )
 from weirgate.llm.common import documents
 from weirgate.plans.common import Registry
@@ -147,3 +148,15 @@ def op9(spark: SparkSession, directory: str) -> DataFrame:
 @plans.query("op10_sharding")
 def op10(spark: SparkSession, directory: str) -> DataFrame:
     return sharding.shard_documents(documents(spark, directory), SHARDS)
+
+
+@plans.query("op11_conversation_repair")
+def op11(spark: SparkSession, directory: str) -> DataFrame:
+    return conversations.repair_report(documents(spark, directory, "conversations"))
+
+
+@plans.query("op13_periodic_runs")
+def op13(spark: SparkSession, directory: str) -> DataFrame:
+    number = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    found = periods.collapse_runs(documents(spark, directory), keep=["doc_id"], plant=number)
+    return periods.run_digests(found)
