@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weirgate.llm import (
-    conversations, fingerprints, knn, lines, mixing, packing, parity, periods, sharding, suffixes, tokens,
+    conversations, fingerprints, knn, lines, mixing, packing, pages, parity, periods, sharding, suffixes, tokens,
     toxicity,
 )
 from weirgate.llm.common import documents
@@ -57,11 +57,11 @@ FROM lines_of LEFT JOIN kept USING (r)
 
 @plans.query("op3_line_dedup", LINES_SQL)
 def op3(spark: SparkSession, directory: str) -> DataFrame:
-    pages = documents(spark, directory, "pages").select(
+    split = documents(spark, directory, "pages").select(
         "page_id", lines.host_of(F.col("url")).alias("host"), lines.html_lines(F.col("html")).alias("body")
     )
     # The floor that LINES_SQL states, not the operator's own.
-    return lines.line_dedup(pages, "body", "host", min_pages=10).select(
+    return lines.line_dedup(split, "body", "host", min_pages=10).select(
         "page_id", "host", "n_lines", "n_dropped", F.md5(F.col("body").cast("binary")).alias("kept_md5")
     )
 
@@ -155,6 +155,12 @@ def op11(spark: SparkSession, directory: str) -> DataFrame:
     return conversations.repair_report(documents(spark, directory, "conversations"))
 
 
+@plans.query("op12_html_text")
+def op12(spark: SparkSession, directory: str) -> DataFrame:
+    found = pages.main_text(documents(spark, directory, "pages"), keep=["page_id", "url"])
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 @plans.query("op13_periodic_runs")
 def op13(spark: SparkSession, directory: str) -> DataFrame:
     number = F.crc32(F.col("doc_id").cast("string").cast("binary"))
