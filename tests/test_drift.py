@@ -1,11 +1,12 @@
+import itertools
 import math
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from weirgate.functions.pvalues import chi_square_tail, ks_tail, normal_two_sided
-from weirgate.operators import drift
+from weirgate.functions.pvalues import chi_square_tail, ks_paths, ks_tail, normal_two_sided
+from weirgate.operators import drift, sketches
 from weirgate.operators.validate import ValidationConfig, schema_difference, validate
 
 
@@ -37,11 +38,11 @@ def test_ks_and_wasserstein_equal_brute_force(spark):
 
 
 def test_small_reference_is_tested_large_one_measured(spark):
-    small = drift.drift_report(frame(spark, 400), frame(spark, 300, 2.0, seed=8))
+    small = drift.drift_report(frame(spark, 400), frame(spark, 300, 2.0, seed=8), family="by_size")
     assert {r["column"]: (r.method, r.drifted) for r in small.collect()} == {
         "x": ("ks", True), "c": ("chisquare", False), "flag": ("z", False)
     }
-    large = drift.drift_report(frame(spark, 1500), frame(spark, 300, 2.0, seed=8))
+    large = drift.drift_report(frame(spark, 1500), frame(spark, 300, 2.0, seed=8), family="by_size")
     assert {r["column"]: r.method for r in large.collect()} == {"x": "wasserstein", "c": "jensenshannon", "flag": "jensenshannon"}
     summary = drift.drift_summary(large).first()
     assert (summary.drifted_column_count, round(summary.drifted_column_share, 6)) == (1.0, 0.333333)
@@ -125,3 +126,78 @@ def test_order_of_checks_and_target(spark):
     c = a.selectExpr("Exited", "CAST(Balance AS STRING) AS Balance", "CreditScore")
     assert validate(a, c, ValidationConfig(), fake(0.0)).first().checks.schema_match
     assert [r["column"] for r in schema_difference(a, c).collect()] == ["Balance"]
+
+
+def test_one_family_for_every_size(spark):
+    for n in (400, 1500):
+        a, b = frame(spark, n), frame(spark, 300, 2.0, seed=8)
+        methods = {r["column"]: r.method for r in drift.drift_report(a, b).collect()}
+        assert methods == {"x": "wasserstein", "c": "jensenshannon", "flag": "jensenshannon"}
+        methods = {r["column"]: r.method for r in drift.drift_report(a, b, family="test").collect()}
+        assert methods == {"x": "ks", "c": "chisquare", "flag": "z"}
+    with pytest.raises(ValueError):
+        drift.drift_report(a, b, family="nope")
+
+
+def test_lattice_paths_count_every_interleaving():
+    for n, m in ((1, 1), (2, 5), (4, 4), (6, 3), (7, 5)):
+        gaps = []
+        for chosen in itertools.combinations(range(n + m), n):
+            i = j = gap = 0
+            for k in range(n + m):
+                i, j = (i + 1, j) if k in chosen else (i, j + 1)
+                gap = max(gap, abs(i * m - j * n))
+            gaps.append(gap)
+        for gap in range(n * m + 2):
+            assert ks_paths(gap, n, m) == sum(g >= gap for g in gaps) / len(gaps)
+    # The series comes close where both can be had.
+    assert abs(ks_paths(round(0.2 * 90 * 100), 90, 100) - 0.0378) < 0.01
+
+
+def sides(spark, xs, ys):
+    def table(values):
+        return spark.createDataFrame([(None if v is None else float(v),) for v in values], "x double")
+
+    return table(xs), table(ys)
+
+
+@pytest.mark.parametrize("size", [50, 2000])
+def test_binned_intervals_hold(spark, size):
+    rng = np.random.default_rng(5)
+    heavy = [1.0] * 1500 + list(rng.normal(0, 1, 3000)) + [None, float("nan")]
+    cases = {
+        "moved": (rng.normal(0, 1, 5000), rng.normal(0.5, 1, 4000)),
+        "heavy": (heavy, list(rng.normal(0, 1, 3000)) + [1.0] * 100),
+        "same": (heavy, heavy),
+        "few": ([1, 2, 3], [0, 2, 2, 9]),
+        "apart": (np.arange(4000), np.arange(5000, 9000)),
+        "negative": (-(rng.random(3000) ** 3), -(rng.random(3000) ** 2)),
+    }
+    for name, (xs, ys) in cases.items():
+        a, b = sides(spark, xs, ys)
+        row = sketches.binned_report(a, b, ["x"], size=size).first()
+        left, right = (np.array([v for v in t if v is not None and v == v], dtype=float) for t in (xs, ys))
+        grid = np.unique(np.concatenate([left, right]))
+        gap = np.abs([(left <= g).mean() - (right <= g).mean() for g in grid])
+        distance = float((gap[:-1] * np.diff(grid)).sum())
+        assert row.ks_low - 1e-9 <= gap.max() <= row.ks_high + 1e-9, name
+        assert row.wasserstein_low - 1e-9 <= distance <= row.wasserstein_high + 1e-9, name
+        if size == 2000:
+            assert row.ks_high - row.ks_low < 0.03, name
+
+
+def test_sketches_of_parts_merge(spark):
+    rng = np.random.default_rng(6)
+    a, b = sides(spark, rng.normal(0, 1, 9000), rng.normal(0.3, 1, 8000))
+    parts = [sketches.quantile_sketches(t.withColumn("p", F.spark_partition_id()), ["x"], by=["p"]) for t in (a, b)]
+    row = sketches.binned_drift(*[sketches.merged(p) for p in parts]).first()
+    assert (row.ref_n, row.cur_n) == (9000, 8000) and row.ks_low <= 0.12 <= row.ks_high + 0.02
+    empty = sketches.quantile_sketches(a.where("x > 99"), ["x"])
+    for left, right in ((empty, parts[0].where("p = 0").drop("p")), (empty, empty)):
+        assert all(r.ks_low is None for r in sketches.binned_drift(left, right).collect())
+
+
+def test_exact_tail_in_a_report(spark):
+    a, b = sides(spark, [1, 2, 3, 4], [5, 6, 7, 8])
+    row = drift.drift_report(a, b, ["x"], kinds={"x": "num"}, method={"x": "ks_exact"}).first()
+    assert row.method == "ks_exact" and row.score == pytest.approx(2 / 70) and row.drifted

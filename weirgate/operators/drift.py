@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weirgate.functions.columns import NUMERIC_TYPES, known, ratio
-from weirgate.functions.pvalues import chi_square_tail, ks_tail, normal_two_sided
+from weirgate.functions.pvalues import chi_square_tail, ks_exact_tail, ks_tail, normal_two_sided
 from weirgate.operators.ordered import running_totals
 
 
@@ -54,7 +54,11 @@ def _cells(both: DataFrame, columns: list[str], kind: str) -> DataFrame:
 
 def numeric_statistics(both: DataFrame, columns: list[str]) -> DataFrame:
     """Per column: ks, wasserstein (divided by the reference deviation), counts."""
-    cells = _cells(both, columns, "double")
+    return cell_statistics(_cells(both, columns, "double"))
+
+
+def cell_statistics(cells: DataFrame) -> DataFrame:
+    """As :func:`numeric_statistics`, of (is_current, column, value); a column may be any key."""
     ranked = running_totals(_side_counts(cells), ["column"], "value", ["ref", "cur"], with_next=True)
     gap = F.abs(
         ratio(F.col("ref_before") + F.col("ref"), F.col("ref_total"))
@@ -134,11 +138,14 @@ class Method:
 # Selectable by name. p-value methods flag small scores, distances flag large ones.
 METHODS: dict[str, Method] = {
     "ks": Method(lambda: ks_tail(F.col("ks"), F.col("ref_n"), F.col("cur_n")), 0.05, True),
+    "ks_exact": Method(lambda: ks_exact_tail(F.col("ks"), F.col("ref_n"), F.col("cur_n")), 0.05, True),
     "chisquare": Method(lambda: chi_square_tail(F.col("chi2"), F.col("freedom")), 0.05, True),
     "z": Method(lambda: F.coalesce(normal_two_sided(F.col("z")), F.lit(1.0)), 0.05, True),
     "wasserstein": Method(lambda: F.col("wasserstein"), 0.1, False),
     "jensenshannon": Method(lambda: F.col("js"), 0.1, False),
 }
+# Families of methods a report can use; ``by_size`` tests references of up to so many rows.
+FAMILIES = ("distance", "test", "by_size")
 SMALL_REFERENCE = 1000
 
 
@@ -166,16 +173,22 @@ def drift_report(
     columns: list[str] | None = None,
     kinds: dict[str, str] | None = None,
     method: dict[str, str] | None = None,
+    family: str = "distance",
 ) -> DataFrame:
     """One row per column: method, score, threshold, drifted.
 
-    Small references (up to 1000 rows) are tested, larger ones compared by distance;
-    ``method`` overrides the choice per column.
+    ``family`` chooses the methods of all columns, alike for tables of any size: ``distance``
+    (wasserstein, jensenshannon) or ``test`` (ks, z, chisquare). With ``by_size`` references of
+    up to 1000 rows are tested and larger ones measured. ``method`` overrides the choice per
+    column; the report names the method used.
     """
+    if family not in FAMILIES:
+        raise ValueError(f"unknown family {family!r}; choose from {FAMILIES}")
     names = [c for c in (columns or reference.columns) if c in current.columns]
     kinds = kinds or column_kinds(reference, names)
     both = stacked(reference, current, names)
-    small = F.lit(reference.limit(SMALL_REFERENCE + 1).count() <= SMALL_REFERENCE)
+    tested = family == "test" or (family == "by_size" and reference.limit(SMALL_REFERENCE + 1).count() <= SMALL_REFERENCE)
+    small = F.lit(tested)
     forced = F.lit(None).cast("string")
     for column, chosen in (method or {}).items():
         if chosen not in METHODS:
@@ -187,7 +200,7 @@ def drift_report(
     if numeric:
         default = F.when(small, F.lit("ks")).otherwise("wasserstein")
         parts.append(
-            _flag(numeric_statistics(both, numeric), F.coalesce(forced, default), ["ks", "wasserstein"])
+            _flag(numeric_statistics(both, numeric), F.coalesce(forced, default), ["ks", "ks_exact", "wasserstein"])
         )
     if categorical:
         default = (

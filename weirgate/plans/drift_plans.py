@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from weirgate.operators import drift
+from weirgate.functions.pvalues import ks_exact_tail
+from weirgate.operators import drift, sketches
 from weirgate.operators.validate import ValidationConfig, validate
 from weirgate.plans.common import Registry, rounded
 from weirgate.plans.views import with_churn
@@ -138,22 +139,10 @@ def column_types(spark, sf):
 DRIFT_COLUMNS = [*NUMERIC, *CATEGORICAL]
 
 
-@plans.query("drift_report")
-def drift_report(spark, sf):
-    low, high = balance_halves(spark, sf)
-    return rounded(drift.drift_report(low, high, DRIFT_COLUMNS))
-
-
-# Distances forced, so that the verdict does not depend on the size of the tables.
-DISTANCES = {**{c: "wasserstein" for c in NUMERIC}, **{c: "jensenshannon" for c in CATEGORICAL}}
-
-
-@plans.query(
-    "drift_share",
-    with_churn(
-        "SELECT CAST(count(*) FILTER (WHERE score >= 0.1) AS DOUBLE) AS drifted_column_count,"
-        " round(count(*) FILTER (WHERE score >= 0.1) * 1.0 / count(*), 6) AS drifted_column_share FROM ("
-        "SELECT w / greatest(s, 0.001) AS score FROM nw UNION ALL SELECT js FROM cj)",
+def _score_sql(final: str) -> str:
+    """``scores``: (column, method, score) of the distances of every column."""
+    return with_churn(
+        final,
         HALVES_SQL,
         "ncells AS (SELECT * FROM ("
         + " UNION ALL ".join(f"SELECT '{c}' AS \"column\", CAST({c} AS DOUBLE) AS v, side FROM halves" for c in NUMERIC)
@@ -174,8 +163,33 @@ DISTANCES = {**{c: "wasserstein" for c in NUMERIC}, **{c: "jensenshannon" for c
                              count(*) FILTER (WHERE side = 1) / sum(count(*) FILTER (WHERE side = 1)) OVER (PARTITION BY "column") AS q
                       FROM ccells GROUP BY "column", v)""",
         """cj AS (SELECT sqrt(greatest(sum(CASE WHEN p > 0 THEN p * ln(p / ((p + q) / 2)) ELSE 0 END
-                  + CASE WHEN q > 0 THEN q * ln(q / ((p + q) / 2)) ELSE 0 END) / 2, 0)) AS js
+                  + CASE WHEN q > 0 THEN q * ln(q / ((p + q) / 2)) ELSE 0 END) / 2, 0)) AS js, "column"
                   FROM cshare GROUP BY "column")""",
+        """scores AS (SELECT "column", 'wasserstein' AS method, w / greatest(s, 0.001) AS score FROM nw
+                      UNION ALL SELECT "column", 'jensenshannon', js FROM cj)""",
+    )
+
+
+@plans.query(
+    "drift_report",
+    _score_sql(
+        """SELECT "column", method, round(score, 6) AS score, 0.1 AS threshold, score >= 0.1 AS drifted FROM scores"""
+    ),
+)
+def drift_report(spark, sf):
+    low, high = balance_halves(spark, sf)
+    return rounded(drift.drift_report(low, high, DRIFT_COLUMNS))
+
+
+# Distances named column by column, as a caller may.
+DISTANCES = {**{c: "wasserstein" for c in NUMERIC}, **{c: "jensenshannon" for c in CATEGORICAL}}
+
+
+@plans.query(
+    "drift_share",
+    _score_sql(
+        "SELECT CAST(count(*) FILTER (WHERE score >= 0.1) AS DOUBLE) AS drifted_column_count,"
+        " round(count(*) FILTER (WHERE score >= 0.1) * 1.0 / count(*), 6) AS drifted_column_share FROM scores"
     ),
 )
 def drift_share(spark, sf):
@@ -183,6 +197,95 @@ def drift_share(spark, sf):
     return rounded(drift.drift_summary(drift.drift_report(low, high, DRIFT_COLUMNS, method=DISTANCES)))
 
 
+# --- sketches --------------------------------------------------------------------------
+
+# The intervals depend on how rows are cut into tasks, the exact figures and their place do not.
+_BINNED_SQL = _numeric_sql(
+    """SELECT d."column", CAST(rn AS BIGINT) AS ref_n, CAST(cn AS BIGINT) AS cur_n, round(ks, 6) AS ks,
+              round(w, 4) AS wasserstein, true AS ks_held, true AS wasserstein_held, true AS narrow
+       FROM (SELECT "column", max(rn) AS rn, max(cn) AS cn, max(abs(gap)) AS ks, sum(abs(gap) * coalesce(step, 0)) AS w
+             FROM cdf GROUP BY "column") d"""
+)
+
+
+def _held(spark, sf, found):
+    """Exact distances beside the intervals that must hold them."""
+    low, high = balance_halves(spark, sf)
+    both = drift.stacked(low, high, NUMERIC)
+    spread = low.agg(*[F.greatest(F.stddev_pop(c), F.lit(0.001)).alias(c) for c in NUMERIC]).unpivot([], NUMERIC, "column", "unit")
+    exact = drift.numeric_statistics(both, NUMERIC).select("column", "ks", "wasserstein").join(spread, "column")
+    joined = exact.withColumn("wasserstein", F.col("wasserstein") * F.col("unit")).join(found, "column")
+    slack = 1e-6
+
+    def inside(name):
+        value = F.col(name)
+        return (value >= F.col(f"{name}_low") - slack) & (value <= F.col(f"{name}_high") * (1 + slack) + slack)
+
+    return joined.select(
+        "column", "ref_n", "cur_n", F.round("ks", 6).alias("ks"), F.round("wasserstein", 4).alias("wasserstein"),
+        inside("ks").alias("ks_held"), inside("wasserstein").alias("wasserstein_held"),
+        (F.col("ks_high") - F.col("ks_low") < 0.03).alias("narrow"),
+    )
+
+
+@plans.query("drift_binned", _BINNED_SQL)
+def drift_binned(spark, sf):
+    low, high = balance_halves(spark, sf)
+    return _held(spark, sf, sketches.binned_report(low, high, NUMERIC))
+
+
+@plans.query("drift_binned_merged", _BINNED_SQL)
+def drift_binned_merged(spark, sf):
+    """Sketches of each region and segment, merged by side."""
+    parts = [
+        sketches.merged(sketches.quantile_sketches(half, NUMERIC, by=["geography", "segment"]))
+        for half in balance_halves(spark, sf)
+    ]
+    return _held(spark, sf, sketches.binned_drift(*parts))
+
+
+_ORDERS_SQL = """
+sides AS (SELECT o_custkey AS k, o_totalprice AS v, (o_orderstatus = 'O')::INT AS cur FROM orders),
+sizes AS (SELECT k, count(*) FILTER (WHERE cur = 0) AS n, count(*) FILTER (WHERE cur = 1) AS m FROM sides GROUP BY k),
+gaps AS (
+  SELECT k, max(abs(r * m - c * n)) AS gap, max(n) AS n, max(m) AS m FROM (
+    SELECT k, n, m, count(*) FILTER (WHERE cur = 0) OVER w AS r, count(*) FILTER (WHERE cur = 1) OVER w AS c
+    FROM sides JOIN sizes USING (k) WINDOW w AS (PARTITION BY k ORDER BY v RANGE UNBOUNDED PRECEDING)
+  ) GROUP BY k
+),
+-- Every order of n + m values, as the bits of a number.
+orders_of AS (
+  SELECT n, m, bits FROM (SELECT unnest(range(1, 9)) AS n), (SELECT unnest(range(1, 9)) AS m), (SELECT unnest(range(0, 65536)) AS bits)
+  WHERE bits < (1 << (n + m)::INT) AND bit_count(bits::INT) = n
+),
+path_gaps AS (
+  SELECT n, m, list_max(list_transform(range(1, n + m + 1), lambda i:
+    abs(bit_count((bits & ((1 << i::INT) - 1))::INT) * m - (i - bit_count((bits & ((1 << i::INT) - 1))::INT)) * n))) AS gap
+  FROM orders_of
+),
+counted AS (SELECT n, m, gap, count(*) AS paths FROM path_gaps GROUP BY ALL)"""
+
+
+@plans.query(
+    "ks_exact",
+    f"""WITH {_ORDERS_SQL}
+    SELECT g.k AS custkey, g.n AS ref_n, g.m AS cur_n, round(g.gap * 1.0 / (g.n * g.m), 6) AS ks,
+           round(sum(c.paths) FILTER (WHERE c.gap >= g.gap) * 1.0 / sum(c.paths), 6) AS p_value
+    FROM gaps g JOIN counted c USING (n, m) GROUP BY g.k, g.n, g.m, g.gap""",
+)
+def ks_exact(spark, sf):
+    """Prices of a customer's finished and open orders, for customers with one to eight of each."""
+    cells = table(spark, sf, "orders").select(
+        F.col("o_custkey").alias("column"), F.col("o_totalprice").alias("value"),
+        (F.col("o_orderstatus") == "O").cast("int").alias("is_current"),
+    )
+    found = drift.cell_statistics(cells).where("ref_n BETWEEN 1 AND 8 AND cur_n BETWEEN 1 AND 8")
+    return rounded(found.select(
+        F.col("column").alias("custkey"), "ref_n", "cur_n", "ks",
+        ks_exact_tail(F.col("ks"), F.col("ref_n"), F.col("cur_n")).alias("p_value"),
+    ))
+
+
 def _flat(summary):
     checks = summary.select("status", F.concat_ws(",", "failed_checks").alias("failed_checks"), "checks.*",
                             F.col("row_counts.reference").alias("reference_rows"),
@@ -218,3 +321,36 @@ def validation_gate(spark, sf):
 def validation_gate_missing(spark, sf):
     low, high = balance_halves(spark, sf, null_every=3)
     return _flat(validate(low, high, ValidationConfig(target_column=CHURN_TARGET)))
+
+
+@plans.query(
+    "validation_gate_drift",
+    _score_sql(
+        """SELECT limit_share, count(*) FILTER (WHERE score >= 0.1) * 1.0 AS drifted_column_count,
+                  CASE WHEN count(*) FILTER (WHERE score >= 0.1) * 1.0 / count(*) > limit_share THEN 'failed' ELSE 'passed' END AS status,
+                  CASE WHEN count(*) FILTER (WHERE score >= 0.1) * 1.0 / count(*) > limit_share THEN 'data_drift_detected' ELSE '' END AS failed_checks,
+                  count(*) FILTER (WHERE score >= 0.1) * 1.0 / count(*) <= limit_share AS drift_within_threshold
+           FROM scores, (VALUES (0.1), (0.9)) AS l(limit_share) GROUP BY limit_share
+           UNION ALL SELECT NULL, NULL, 'failed', 'drift_metric_missing', NULL"""
+    ),
+)
+def validation_gate_drift(spark, sf):
+    """The gate's drift outcomes: over and within the limit, and without a metric."""
+    low, high = (half.select(*DRIFT_COLUMNS) for half in balance_halves(spark, sf))
+
+    def gate(limit, report):
+        config = ValidationConfig(
+            target_column=CHURN_TARGET, fail_on_drift=True, drift_share_threshold=limit, fail_on_missing_fraction=False
+        )
+        return validate(low, high, config, report).select(
+            F.lit(limit if report is full else None).cast("double").alias("limit_share"), "drifted_column_count", "status",
+            F.concat_ws(",", "failed_checks").alias("failed_checks"), "checks.drift_within_threshold",
+        )
+
+    def full(reference, current):
+        return drift.drift_report(reference, current, DRIFT_COLUMNS)
+
+    def nothing(reference, current):
+        return full(reference, current).where("false")
+
+    return gate(0.1, full).unionByName(gate(0.9, full)).unionByName(gate(0.1, nothing))
