@@ -144,3 +144,26 @@ def test_promotion_limits_are_inclusive(spark):
     allowed, refused = registry.promotable(registry.promotion(candidates, baselines, 0.01, 0.7))
     assert {r.candidate_id for r in allowed.collect()} == {1, 5}
     assert {r.refused_status for r in refused.collect()} == {"reject"}
+
+
+def test_grid_samples_do_not_repeat(spark):
+    names = [f"p{i}" for i in range(12)]
+    big = {n: [str(j) for j in range(10)] for n in names}
+    rows = [("s1", "rf", {"use_smote": ["true", "false"]}, {"p0": ["a", "b", "c"], "p1": ["x", None, "y"], "p2": [None]}), ("s2", "rf", {}, big), ("s3", "rf", {}, {})]
+    spaces = spark.createDataFrame(rows, "sweep_id string, family string, shared map<string,array<string>>, space map<string,array<string>>")
+    parameters = [*names, "use_smote"]
+    got = search.sample_grid(spaces, parameters, 5000)
+    every = search.expand_trials(spaces.where("sweep_id = 's1'"), parameters)
+    wanted = sorted(r.t for r in every.select(search.trial_key(F.col("params")).alias("t")).collect())
+    assert sorted(r.t for r in got.where("sweep_id = 's1'").select(search.trial_key(F.col("params")).alias("t")).collect()) == wanted
+    large = got.where("sweep_id = 's2'").select(search.trial_key(F.col("params")).alias("t"))
+    assert (large.count(), large.distinct().count()) == (5000, 5000)
+    # Every choice of every parameter is about as frequent.
+    share = got.where("sweep_id = 's2'").groupBy(F.col("params")["rf_p7"].alias("v")).count().collect()
+    assert len(share) == 10 and all(350 < r["count"] < 650 for r in share)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    other = search.sample_grid(spaces, parameters, 50, seed=7).where("sweep_id = 's2'").select(search.trial_key(F.col("params")).alias("t"))
+    assert other.intersect(large).count() == 0
+    with pytest.raises(Exception, match="2\\*\\*62"):
+        search.sample_grid(spark.createDataFrame([("s", "rf", {}, {f"p{i}": ["a"] * 100 for i in range(12)})], spaces.schema), names, 5).collect()

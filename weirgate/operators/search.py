@@ -53,6 +53,80 @@ def sample_trials(trials: DataFrame, max_trials: int, seed: int = 42) -> DataFra
     return keyed.withColumn("trial_no", F.row_number().over(order)).where(F.col("trial_no") <= max_trials)
 
 
+# Rounds of the permutation, and steps of its walk back into the grid.
+ROUNDS, WALK = 6, 64
+MOST_POINTS = 1 << 62
+
+
+def _permuted(x: Column, left: Column, right: Column, key: list[Column]) -> Column:
+    """A keyed permutation of the numbers below ``left * right``: Feistel rounds that add a
+    hash of one half to the other, each half in its own radix."""
+
+    def step(s: Column, i: Column) -> Column:
+        odd = i % 2 == 1
+        return F.struct(
+            F.when(odd, F.pmod(s["l"] + F.pmod(F.xxhash64(s["r"], i, *key), left), left)).otherwise(s["l"]).alias("l"),
+            F.when(odd, s["r"]).otherwise(F.pmod(s["r"] + F.pmod(F.xxhash64(s["l"], i, *key), right), right)).alias("r"),
+        )
+
+    # Whole-number division; a double would lose the last digits of a large number.
+    start = F.struct(F.call_function("div", x, right).alias("l"), F.pmod(x, right).alias("r"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step, lambda s: s["l"] * right + s["r"])
+
+
+def sample_grid(spaces: DataFrame, parameters: list[str], max_trials: int, seed: int = 42) -> DataFrame:
+    """At most ``max_trials`` different trials of each (sweep_id, family), without the grid.
+
+    ``spaces`` as for :func:`expand_trials`. Trial number ``t`` is sent to a point of the grid by
+    a keyed permutation, and the point's digits in the radices of the choices name the
+    parameters; so no two trials are equal, and a space with fewer points gives all of them.
+    Every trial is computed from its number alone: one narrow job, whatever the grid's size
+    (up to 2**62 points, beyond which it fails). The permuted domain is the smallest rectangle
+    that holds the grid; a number outside the grid is permuted again until it is inside.
+    """
+    clean = {
+        name: F.map_filter(
+            F.transform_values(name, lambda k, v: F.filter(v, lambda x: x.isNotNull())), lambda k, v: F.size(v) > 0
+        )
+        for name in ("shared", "space")
+    }
+    rows = spaces.withColumns(clean).where(F.size("space") > 0)
+
+    def choices(name: str) -> Column:
+        return F.col("shared" if name in SHARED_PARAMETERS else "space")[name]
+
+    sizes = {f"_n{i}": F.coalesce(F.size(choices(p)), F.lit(1)).cast("long") for i, p in enumerate(parameters)}
+    sizes = {k: F.when(c < 1, F.lit(1)).otherwise(c).cast("long") for k, c in sizes.items()}
+    rows = rows.withColumns(sizes)
+    points = F.aggregate(F.array(*sizes), F.lit(1).cast("decimal(38,0)"), lambda a, n: (a * n).cast("decimal(38,0)"))
+    large = F.raise_error(F.lit("a grid of more than 2**62 points")).cast("long")
+    rows = rows.withColumn("_points", points).withColumn(
+        "_points", F.when(F.col("_points") <= MOST_POINTS, F.col("_points").cast("long")).otherwise(large)
+    )
+    rows = rows.withColumn("_left", F.ceil(F.sqrt(F.col("_points").cast("double"))).cast("long"))
+    rows = rows.withColumn("_right", F.expr("(_points + _left - 1) DIV _left"))
+    numbered = rows.withColumn("trial_no", F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.col("_points"), F.lit(max_trials)))))
+    key = [F.lit(seed), F.col("sweep_id"), F.col("family")]
+    first = F.col("trial_no") - 1
+
+    def again(x: Column, i: Column) -> Column:
+        return F.when((i > 1) & (x < F.col("_points")), x).otherwise(_permuted(x, F.col("_left"), F.col("_right"), key))
+
+    walked = numbered.withColumn("_at", F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), first, again))
+    lost = F.raise_error(F.lit("no point of the grid was reached")).cast("long")
+    placed = walked.withColumn("_at", F.when(F.col("_at") < F.col("_points"), F.col("_at")).otherwise(lost))
+    below = ["CAST(1 AS BIGINT)"]
+    for i in range(len(parameters)):
+        below.append(f"{below[-1]} * _n{i}")
+    chosen = []
+    for i, name in enumerate(parameters):
+        digit = F.expr(f"CAST((_at DIV ({below[i]})) % _n{i} AS INT)")
+        label = F.lit(name) if name in SHARED_PARAMETERS else F.concat("family", F.lit(f"_{name}"))
+        chosen.append(F.struct(label.alias("key"), F.get(choices(name), digit).alias("value")))
+    present = F.filter(F.array(*chosen), lambda e: e["value"].isNotNull())
+    return placed.select("sweep_id", "family", "trial_no", F.map_from_entries(present).alias("params"))
+
+
 def override_keys(params: Column) -> Column:
     """``rf_x`` becomes ``rf.x`` for the known families."""
     pattern = f"^({'|'.join(FAMILIES)})_"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from weirgate.plans import (
     drift_plans,
+    file_plans,
     gate_plans,
     model_plans,
     prep_plans,
@@ -18,6 +19,7 @@ MODULES = [
     profile_plans,
     prep_plans,
     drift_plans,
+    file_plans,
     selection_plans,
     gate_plans,
     scoring_plans,

@@ -203,7 +203,8 @@ def capture_partitions(spark, sf):
 @plans.query(
     "run_log_redacted",
     f"""WITH {derived_sql('run_log')}
-    SELECT run_id, CASE WHEN run_id % 2 = 0 THEN 'k,step' ELSE 'k,step,user' END AS keys, 'plain' AS nested FROM run_log""",
+    SELECT run_id, CASE WHEN run_id % 2 = 0 THEN 'k,step' ELSE 'k,step,user' END AS keys, 'plain' AS nested,
+           concat('{{"a":{{"b":[{{"c":{{"k":"', k, '"}}}},', run_id, ',[]]}},"step":"', step, '"}}') AS tree FROM run_log""",
 )
 def run_log_redacted(spark, sf):
     rows = derived(spark, sf, "run_log").select(
@@ -222,11 +223,27 @@ def run_log_redacted(spark, sf):
         )).alias("params"),
         F.create_map(F.lit("outer"), F.create_map(F.lit("plain"), F.lit("1"), F.lit("db_password"), F.lit("x")),
                      F.lit("connection_string_map"), F.create_map(F.lit("plain"), F.lit("2"))).alias("config"),
+        # Four levels and lists, with marked keys at each.
+        F.to_json(F.struct(
+            F.struct(
+                F.array(
+                    F.parse_json(F.to_json(F.struct(
+                        F.struct("k", F.col("user").alias("client_SECRET")).alias("c"), F.col("user").alias("access_token"),
+                    ))),
+                    F.parse_json(F.col("run_id").cast("string")),
+                    F.parse_json(F.to_json(F.array(F.map_from_arrays(F.array(F.lit("unused")), F.array("user"))))),
+                ).alias("b"),
+                F.array(F.lit(1)).alias("passwords"),
+            ).alias("a"),
+            F.struct(F.col("k").alias("all")).alias("connection_string"),
+            F.col("step"),
+        )).alias("tree"),
     )
-    cleaned = run_log(rows, ["params"], ["config"])
+    cleaned = run_log(rows, ["params"], ["config"], ["tree"])
     return cleaned.select(
         "run_id", F.array_join(F.sort_array(F.map_keys("params")), ",").alias("keys"),
         F.array_join(F.flatten(F.transform(F.map_values("config"), lambda m: F.map_keys(m))), ",").alias("nested"),
+        F.regexp_replace("tree", r"\{\"unused\":\"[^\"]*\"\}", "").alias("tree"),
     )
 
 

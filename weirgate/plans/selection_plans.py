@@ -277,3 +277,34 @@ def winner_config(spark, sf):
         "sweep_id", F.concat_ws(",", "models").alias("models"), search.trial_key(clamped).alias("hyperparameters"),
         "class_weight", "random_state", "use_smote",
     )
+
+
+_GRID = [f"p{i}" for i in range(12)]
+
+
+@plans.query(
+    "trial_sample_grid",
+    """SELECT c_custkey AS sweep_id, 'rf' AS family, least(24, n) AS trials, least(24, n) AS different, true AS from_choices
+       FROM (SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN 1000000000000 WHEN 1 THEN 12 ELSE 30 END AS n FROM customer)""",
+)
+def trial_sample_grid(spark, sf):
+    """24 trials of each customer's grid: 10**12 points, 12 or 30."""
+    kind = F.col("c_custkey") % 3
+    values = F.transform(F.sequence(F.lit(0), F.lit(9)), lambda x: x.cast("string"))
+
+    def some(n):
+        return F.slice(values, 1, n)
+
+    few = F.when(kind == 1, F.create_map(F.lit("p0"), some(4), F.lit("p5"), some(3), F.lit("p7"), F.array(F.lit(None).cast("string"))))
+    spaces = table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("sweep_id"), F.lit("rf").alias("family"),
+        F.create_map().cast("map<string,array<string>>").alias("shared"),
+        F.when(kind == 0, F.create_map(*[x for p in _GRID for x in (F.lit(p), some(10))])).otherwise(
+            few.otherwise(F.create_map(F.lit("p1"), some(10), F.lit("p2"), some(3)))
+        ).alias("space"),
+    )
+    trials = search.sample_grid(spaces, _GRID, 24)
+    digits = F.forall(F.map_values("params"), lambda v: v.rlike("^[0-9]$"))
+    return trials.groupBy("sweep_id", "family").agg(
+        F.count("*").alias("trials"), F.count_distinct(search.trial_key(F.col("params"))).alias("different"), F.bool_and(digits).alias("from_choices")
+    )
