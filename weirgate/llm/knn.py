@@ -13,10 +13,11 @@ each query block of its cell, and not at all where no query comes.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weirgate.session import cut_lineage
@@ -25,26 +26,30 @@ from weirgate.session import cut_lineage
 MAX_PIVOTS = 2048
 BLOCK_ROWS = 4096
 QUERY_ROWS = 4096
-# A larger component is left out with its vector: scores would leave the exact range.
-LARGEST = 1 << 24
+# Scores below this are exact in floating point, and below the next in long integers.
+FLOAT_EXACT, LONG_EXACT = 2**53, 2**63
 SLACK = 1e-9
 
 
 def whole_vectors(df: DataFrame, id: str, vector: str, scale: int) -> DataFrame:
-    """(vid, v array<double>) of rows that take part: every component floor(scale * x).
+    """(vid, v array<double>, times) of rows that take part: every component floor(scale * x).
 
-    Left out are null ids and vectors, vectors with null, non-finite or huge components, and
-    vectors that have not the most frequent length (ties: the longer).
+    Left out are null ids and vectors, and vectors with null or non-finite components. Equal
+    rows, id and vector, are one row that says how many they are.
     """
-    x = F.transform(F.col(f"`{vector}`"), lambda e: F.floor(F.lit(float(scale)) * e.cast("double")).cast("double"))
-    finite = F.forall(
-        F.col(f"`{vector}`"),
-        lambda e: e.isNotNull() & ~F.isnan(e.cast("double")) & (F.abs(e.cast("double")) < F.lit(LARGEST / scale)),
-    )
-    rows = df.where(F.col(f"`{id}`").isNotNull() & F.col(f"`{vector}`").isNotNull() & F.coalesce(finite, F.lit(False)))
-    vectors = rows.select(F.col(f"`{id}`").cast("long").alias("vid"), x.alias("v")).where(F.size("v") > 0)
-    lengths = vectors.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
-    return vectors.where(F.size("v") == (lengths["d"] if lengths else 0))
+    def whole(e: Column) -> Column:
+        y = F.lit(float(scale)) * e.cast("double")
+        # Doubles beyond are whole numbers already, and may be too large for a long.
+        return F.when(F.abs(y) < 2.0**52, F.floor(y).cast("double")).otherwise(y)
+
+    def finite(e: Column) -> Column:
+        y = F.lit(float(scale)) * e.cast("double")
+        return e.isNotNull() & ~F.isnan(y) & (F.abs(y) < float("inf"))
+
+    given = F.col(f"`{vector}`")
+    rows = df.where(F.col(f"`{id}`").isNotNull() & given.isNotNull() & F.coalesce(F.forall(given, finite), F.lit(False)))
+    vectors = rows.select(F.col(f"`{id}`").cast("long").alias("vid"), F.transform(given, whole).alias("v"))
+    return vectors.groupBy("vid", "v").agg(F.count("*").alias("times"))
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -61,12 +66,13 @@ def _assign(data: DataFrame, pivots: np.ndarray) -> DataFrame:
                 batch = whole.iloc[at : at + 1024]
                 x = _matrix(batch["v"])
                 cell = np.argmin(norms[None, :] - 2 * (x @ pivots.T), axis=1)
+                away = np.sqrt(((x - pivots[cell]) ** 2).sum(axis=1))
                 yield pd.DataFrame({
-                    "vid": batch["vid"], "v": batch["v"], "cell": cell.astype("int32"),
-                    "away": np.sqrt(((x - pivots[cell]) ** 2).sum(axis=1)),
+                    "vid": batch["vid"], "v": batch["v"], "times": batch["times"], "cell": cell.astype("int32"),
+                    "away": np.where(np.isnan(away), np.inf, away),
                 })
 
-    return data.mapInPandas(run, "vid long, v array<double>, cell int, away double")
+    return data.mapInPandas(run, "vid long, v array<double>, times long, cell int, away double")
 
 
 def _floor_of(lower: np.ndarray, sizes: np.ndarray, k: int) -> np.ndarray:
@@ -78,30 +84,36 @@ def _floor_of(lower: np.ndarray, sizes: np.ndarray, k: int) -> np.ndarray:
     return np.where(reached.any(axis=1), floor, -np.inf)
 
 
-def _wanted(pivots: np.ndarray, radius: np.ndarray, sizes: np.ndarray, k: int):
-    """Function of a batch of queries: parts of it, and (row, cell) where a cell may hold one of the k best."""
+def _wanted(pivots: np.ndarray, radius: np.ndarray, sizes: np.ndarray, need: int):
+    """Function of a batch of queries: parts of it, and (row, cell) where a cell may hold one of
+    the best; ``need`` vectors hold k of another id than the query's."""
     filled_cells = np.flatnonzero(sizes)
     centres, reach, number = pivots[filled_cells], radius[filled_cells], sizes[filled_cells]
 
+    far = np.sqrt((centres**2).sum(axis=1))
+
+    def bounds(scores: np.ndarray, width: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Lower and upper bounds with room for rounding; what overflows bounds nothing."""
+        wide = width + SLACK * (size + width) + SLACK
+        low, high = scores - wide, scores + wide
+        return np.where(np.isnan(low), -np.inf, low), np.where(np.isnan(high), np.inf, high)
+
     def pairs(whole: pd.DataFrame) -> Iterator[tuple[pd.DataFrame, np.ndarray, np.ndarray]]:
         for _, group in whole.groupby("cell"):
             for at in range(0, len(group), 256):
                 batch = group.iloc[at : at + 256]
                 q = _matrix(batch["v"])
-                # Bounds of the whole group, from its middle and extent.
-                middle = q.mean(axis=0)
-                extent = np.sqrt(((q - middle) ** 2).sum(axis=1).max())
-                to_middle = (centres @ middle)[None, :]
-                length = np.sqrt(middle @ middle) + extent
-                spread = extent * np.sqrt((centres**2).sum(axis=1)) + length * reach
-                # k + 1: the query may find itself.
-                group_floor = _floor_of(to_middle - spread, number, k + 1)
-                near = np.flatnonzero((to_middle + spread)[0] >= group_floor[0] * (1 - np.sign(group_floor[0]) * SLACK) - SLACK)
-                # The remaining cells, query by query.
-                scores = q @ centres[near].T
-                slack = np.sqrt((q**2).sum(axis=1))[:, None] * reach[None, near]
-                floor = _floor_of(scores - slack, number[near], k + 1)
-                wanted = scores + slack >= floor[:, None] - SLACK * np.abs(scores) - SLACK
+                with np.errstate(over="ignore", invalid="ignore"):
+                    # Bounds of the whole group, from its middle and extent.
+                    middle = q.mean(axis=0)
+                    extent = np.sqrt(((q - middle) ** 2).sum(axis=1).max())
+                    length = np.sqrt(middle @ middle) + extent
+                    low, high = bounds((centres @ middle)[None, :], (extent * far + length * reach)[None, :], (length * far)[None, :])
+                    near = np.flatnonzero(high[0] >= _floor_of(low, number, need)[0])
+                    # The remaining cells, query by query.
+                    norms = np.sqrt((q**2).sum(axis=1))[:, None]
+                    low, high = bounds(q @ centres[near].T, norms * reach[None, near], norms * far[None, near])
+                    wanted = high >= _floor_of(low, number[near], need)[:, None]
                 row, cell = np.nonzero(wanted)
                 yield batch, row, filled_cells[near[cell]]
 
@@ -137,10 +149,11 @@ def _routes(queries: DataFrame, pairs, blocks: np.ndarray) -> DataFrame:
                     pick = slice(part, part + 20_000)
                     yield pd.DataFrame({
                         "qid": batch["vid"].to_numpy()[row[pick]], "q": batch["v"].to_numpy()[row[pick]],
+                        "asked": batch["times"].to_numpy()[row[pick]],
                         "cell": cell[pick].astype("int32"), "block": block[pick].astype("int32"),
                     })
 
-    return queries.mapInPandas(run, "qid long, q array<double>, cell int, block int")
+    return queries.mapInPandas(run, "qid long, q array<double>, asked long, cell int, block int")
 
 
 def _of_cell(numbers: np.ndarray):
@@ -148,6 +161,23 @@ def _of_cell(numbers: np.ndarray):
     return F.element_at(F.array(*[F.lit(int(n)) for n in numbers]), F.col("cell") + 1)
 
 
+def _products(q: np.ndarray, x: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Exact inner products as long integers; one that does not fit is an error, but for a
+    query's ``own`` vectors, whose products are not used."""
+    most = lambda m: float(np.abs(m).max()) if m.size else 0.0
+    bound = most(q) * most(x) * max(1, q.shape[1])
+    if bound < FLOAT_EXACT:
+        return (q @ x.T).astype(np.int64)
+    if bound < LONG_EXACT:
+        return q.astype(np.int64) @ x.T.astype(np.int64)
+    whole = np.vectorize(int, otypes=[object])
+    exact = whole(q) @ whole(x).T
+    exact[own] = 0
+    if exact.size and (exact.max() >= LONG_EXACT or exact.min() < -LONG_EXACT):
+        raise OverflowError("an inner product does not fit a long integer")
+    return exact.astype(np.int64)
+
+
 def _solve(k: int):
     columns = ["query_id", "vec_id", "score"]
 
@@ -155,19 +185,23 @@ def _solve(k: int):
         if not len(queries) or not len(data):
             return pd.DataFrame(columns=columns)
         data = data.sort_values("vid", kind="stable")
-        ids, x = data["vid"].to_numpy(), _matrix(data["v"])
+        ids, x, times = data["vid"].to_numpy(), _matrix(data["v"]), data["times"].to_numpy()
         out = []
         for at in range(0, len(queries), 256):
             part = queries.iloc[at : at + 256]
-            qids = part["qid"].to_numpy()
-            scores = _matrix(part["q"]) @ x.T
-            scores[qids[:, None] == ids[None, :]] = -np.inf
+            qids, asked = part["qid"].to_numpy(), part["asked"].to_numpy()
+            scores = _products(_matrix(part["q"]), x, qids[:, None] == ids[None, :])
             for i, row in enumerate(scores):
-                limit = np.partition(row, len(row) - k)[len(row) - k] if len(row) > k else -np.inf
-                best = np.flatnonzero(row >= limit)
-                best = best[np.isfinite(row[best])]
-                best = best[np.argsort(-row[best], kind="stable")][:k]
-                out.append(pd.DataFrame({"query_id": qids[i], "vec_id": ids[best], "score": row[best].astype("int64")}))
+                others = np.flatnonzero(ids != qids[i])
+                found = row[others]
+                if len(found) > k:
+                    found_at = found >= np.partition(found, len(found) - k)[len(found) - k]
+                    others, found = others[found_at], found[found_at]
+                # Descending scores; -1 - score cannot leave the range.
+                order = np.argsort(-1 - found, kind="stable")[:k]
+                # Repeated rows count as often as they are given.
+                order = np.repeat(order, np.minimum(times[others[order]] * asked[i], k))[:k]
+                out.append(pd.DataFrame({"query_id": qids[i], "vec_id": ids[others[order]], "score": found[order]}))
         return pd.concat(out)[columns] if out else pd.DataFrame(columns=columns)
 
     return run
@@ -179,16 +213,31 @@ def top_k(
     """(query_id, rank, vec_id, score): each query's k largest integer inner products.
 
     Queries are the rows whose id is divisible by ``query_step``; candidates are all rows
-    with another id. Ties go to the smaller id; a row that repeats, id and vector, counts
-    once, and of different vectors under one id each takes part. Extra columns are not read.
-    An empty table, or one without a usable vector, gives an empty table.
+    with another id and a vector of the same length, so each length is a search of its own.
+    Ties go to the smaller id. A row given several times is as many candidates, and as many
+    queries under its id; of different vectors under one id each takes part. Components of
+    any finite size are exact; a product beyond a long integer is an error. Extra columns
+    are not read. An empty table, or one without a usable vector, gives an empty table.
     """
-    data = cut_lineage(whole_vectors(df, id, vector, scale).distinct())
+    every = cut_lineage(whole_vectors(df, id, vector, scale))
+    lengths = [r["d"] for r in every.groupBy(F.size("v").alias("d")).count().orderBy("d").collect()]
+    found = [_top_of_length(every.where(F.size("v") == d), k, query_step) for d in lengths]
+    if not found:
+        return df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    partial = reduce(DataFrame.unionAll, found)
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return (
+        partial.withColumn("rank", F.row_number().over(best))
+        .where(F.col("rank") <= k)
+        .select("query_id", "rank", "vec_id", "score")
+    )
+
+
+def _top_of_length(data: DataFrame, k: int, query_step: int) -> DataFrame:
+    """(query_id, vec_id, score) of vectors of one length: the k best of every block."""
     total = data.count()
     count = int(min(MAX_PIVOTS, max(1, np.sqrt(total))))
     chosen = data.orderBy(F.xxhash64("vid"), "vid", "v").limit(count).collect()
-    if not total:
-        return df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     pivots = np.array([r["v"] for r in chosen], dtype=np.float64)
     assigned = cut_lineage(_assign(data, pivots))
     radius, sizes = np.zeros(len(pivots)), np.zeros(len(pivots), dtype=np.int64)
@@ -197,12 +246,14 @@ def top_k(
         radius[row["cell"]], sizes[row["cell"]] = row["r"] * (1 + SLACK) + SLACK, row["n"]
     blocks = -(-sizes // BLOCK_ROWS)
     queries = assigned.where(F.col("vid") % query_step == 0)
-    pairs = _wanted(pivots, radius, sizes, k)
+    # A query does not count the vectors of its own id, mostly one.
+    own = queries.groupBy("vid").count().agg(F.max("count")).first()[0] or 0
+    pairs = _wanted(pivots, radius, sizes, k + own)
     query_blocks = -(-_routed(queries, pairs, len(pivots)) // QUERY_ROWS)
     spread = (
         assigned.withColumn("parts", _of_cell(query_blocks)).where(F.col("parts") > 0)
         .select(
-            "vid", "v", "cell", F.pmod(F.xxhash64("vid", "v"), _of_cell(blocks)).cast("int").alias("block"),
+            "vid", "v", "times", "cell", F.pmod(F.xxhash64("vid", "v"), _of_cell(blocks)).cast("int").alias("block"),
             F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
         )
     )
@@ -210,13 +261,7 @@ def top_k(
         "part", F.pmod(F.xxhash64("qid", "q"), _of_cell(np.maximum(query_blocks, 1))).cast("int")
     )
     keys = ["cell", "block", "part"]
-    partial = (
+    return (
         routes.groupBy(*keys).cogroup(spread.groupBy(*keys))
         .applyInPandas(_solve(k), "query_id long, vec_id long, score long")
     )
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (
-        partial.withColumn("rank", F.row_number().over(best))
-        .where(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", "score")
-    )
