@@ -20,10 +20,12 @@ from __future__ import annotations
 
 import json
 import re
-import unicodedata
+import zlib
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
+from tokenizers import Tokenizer
 
 from weirgate.llm.common import map_texts, worker_store
 
@@ -78,17 +80,47 @@ def _step(state: int, kind: int) -> tuple[int, int]:
     return IN_OTHER, late | (0 if joined or state == IN_OTHER else HERE)
 
 
+@lru_cache(maxsize=4)
+def letter_classes(path: str) -> bytes:
+    """Class of every code point as the library's own splitter for the file sees it, compressed.
+
+    Which characters are letters or numbers depends on the Unicode tables of the library,
+    which are not Python's, so it is asked. A block of code points between two letters that
+    stays one piece holds letters only; one that is a piece of its own holds none. Other
+    blocks are halved, down to single characters; numbers likewise, between two digits.
+    """
+    cut = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
+    kinds = np.full(0x110000, OTHER, dtype=np.uint8)
+    for kind, lead in ((LETTER, "a"), (NUMBER, "1")):
+        # Surrogates are no characters.
+        runs = [range(a, a + 256) for a in range(0, 0x110000, 256) if not 0xD800 <= a < 0xE000]
+        while runs:
+            texts = [f"{lead}{''.join(map(chr, run))}{lead}\n" for run in runs]
+            whole = "".join(texts)
+            begins = np.zeros(len(whole) + 1, dtype=bool)
+            begins[[start for _, (start, _) in cut(whole)]] = True
+            before = np.concatenate(([0], np.cumsum(begins)))
+            end = np.cumsum([len(t) for t in texts])
+            start = end - [len(t) for t in texts]
+            # Pieces that begin behind the first lead, up to the second one.
+            inside = before[end - 1] - before[start + 1]
+            apart = (inside == 2) & begins[start + 1] & begins[end - 2]
+            mixed = []
+            for run, n, own in zip(runs, inside.tolist(), apart.tolist(), strict=True):
+                if n == 0:
+                    kinds[run.start : run.stop] = kind
+                elif not own and len(run) > 1:
+                    middle = run.start + len(run) // 2
+                    mixed += [range(run.start, middle), range(middle, run.stop)]
+            runs = mixed
+    return zlib.compress(kinds.tobytes())
+
+
 class Splitter:
     """The compiled splitter: class of every code point, transitions, emissions."""
 
-    def __init__(self) -> None:
-        kinds = np.full(0x110000, OTHER, dtype=np.uint8)
-        for code in range(0x110000):
-            first = unicodedata.category(chr(code))[0]
-            if first == "L":
-                kinds[code] = LETTER
-            elif first == "N":
-                kinds[code] = NUMBER
+    def __init__(self, classes: bytes) -> None:
+        kinds = np.frombuffer(zlib.decompress(classes), dtype=np.uint8).copy()
         kinds[WHITE_SPACE] = SPACE
         kinds[32] = BLANK
         for kind, characters in ((QUOTE, "'"), (STMD, "stmd"), (RV, "rv"), (E, "e"), (EL, "l")):
@@ -251,14 +283,14 @@ class PieceCounts(dict):
 class Compiled:
     """Splitter and merger of one tokenizer file."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, classes: bytes) -> None:
         with open(path, encoding="utf-8") as file:
             source = json.load(file)
         if source["model"]["type"] != "BPE" or source["pre_tokenizer"]["type"] != "ByteLevel" or source["normalizer"]:
             raise ValueError("only plain byte-level BPE files can be compiled")
         special = [t["content"] for t in source["added_tokens"]]
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
-        self.splitter = Splitter()
+        self.splitter = Splitter(classes)
         self.pieces = PieceCounts(Merger(source["model"]))
 
     def counts(self, texts: list[str]) -> np.ndarray:
@@ -288,10 +320,10 @@ class Compiled:
         return extra + np.bincount(owners, weights=per_part, minlength=len(texts)).astype(np.int64)
 
 
-def compiled(path: str) -> Compiled:
+def compiled(path: str, classes: bytes | None = None) -> Compiled:
     store = worker_store()
     if ("compiled", path) not in store:
-        store["compiled", path] = Compiled(path)
+        store["compiled", path] = Compiled(path, classes or letter_classes(path))
     return store["compiled", path]
 
 
@@ -301,13 +333,15 @@ def token_counts(
     """``keep`` columns (default: all) with n_bytes, n_tokens and over_limit of each text.
 
     ``vocabulary`` is the path of a byte-level BPE ``.json`` file present on every worker.
-    Null counts as empty: 0 bytes, 0 tokens. Repeated rows stay; each row is counted by
-    itself, whatever its other columns hold. Extra columns pass through, save those named
+    Null counts as empty: 0 bytes, 0 tokens. Very long texts are counted whole. Repeated rows
+    stay; each row is counted by itself, whatever its other columns hold. Extra columns pass through, save those named
     like an added one. An empty table gives an empty table.
     """
+    # Found once, on the driver: a few kilobytes for every task.
+    classes = letter_classes(vocabulary)
 
     def make():
-        machine = compiled(vocabulary)
+        machine = compiled(vocabulary, classes)
 
         def run(texts: list[str]) -> list:
             counts = machine.counts(texts)
