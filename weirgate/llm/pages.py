@@ -220,8 +220,8 @@ def read_pages(pages: DataFrame, html: str, keep: list[str]) -> DataFrame:
     return map_texts(pages, html, make, f"_pieces {PIECES}, _article bigint", keep=keep)
 
 
-def site_templates(read: DataFrame) -> DataFrame:
-    """(host, hashes) of the subtrees that recur on a host.
+def site_templates(read: DataFrame, hosts: DataFrame) -> DataFrame:
+    """(host, hashes) of the subtrees that recur on a host; ``hosts`` has the host of every page.
 
     Pages without a host belong to no site. Counts are taken before the shuffle too, so a host
     with a third of all pages sends one row a task and subtree. A host's list is bounded: each
@@ -229,8 +229,9 @@ def site_templates(read: DataFrame) -> DataFrame:
     number of boxes of a page / ``LEAST_SHARE``.
     """
     named = read.where(F.col("_host") != "")
+    # Counted from the addresses: no page is read for it.
     boxes = F.array_distinct(F.flatten(F.transform("_pieces", lambda p: p["boxes"])))
-    sizes = named.groupBy("_host").agg(F.count("*").alias("pages"))
+    sizes = hosts.groupBy("_host").agg(F.count("*").alias("pages"))
     seen = named.select("_host", "_article", F.explode(boxes).alias("hash")).groupBy("_host", "hash").agg(
         F.count("*").alias("n"), F.min("_article").alias("low"), F.max("_article").alias("high")
     )
@@ -261,7 +262,7 @@ def main_text(
     )
     read = read_pages(plain, "_html", keep=[*names.values(), "_host"])
     counted = read_pages(plain.select("_host", "_html"), "_html", keep=["_host"])
-    templates = sized_side(site_templates(counted), F.size("_templates") * 8 + F.length("_host"))
+    templates = sized_side(site_templates(counted, plain), F.size("_templates") * 8 + F.length("_host"))
     left = F.filter("_pieces", lambda p: ~p["chrome"] & ~F.coalesce(F.arrays_overlap(p["boxes"], "_templates"), F.lit(False)))
     joined = read.join(templates, "_host", "left")
     return joined.select(
