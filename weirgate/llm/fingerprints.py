@@ -1,14 +1,19 @@
 """I-Match fingerprints over randomised lexicons.
 
 Terms whose document frequency lies in a band are the lexicon. Besides the full lexicon,
-random subsets of falling density are drawn; a text's fingerprint is, for every lexicon,
-the hash of its sorted distinct terms that lie in it. Sparse subsets survive edits that
-dense ones do not, so the share of equal hashes grows with the likeness of two texts.
-Only DataFrame functions are used.
+random subsets of falling density are drawn, in chains that each halve the one before; a
+text's fingerprint is, for every lexicon, the hash of its sorted distinct terms that lie in
+it. Sparse subsets survive edits that dense ones do not, so the share of equal hashes grows
+with the likeness of two texts. Only DataFrame functions are used.
+
+A term is its 64-bit hash. The lexicon is measured; up to ``TABLE_TERMS`` it is a constant of the
+plan, a table of two possible places for each term, so that texts meet it where they are.
+Beyond, terms are joined to it by shuffle. Either way gives the same fingerprints.
 """
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,9 +23,11 @@ from weirgate.session import cut_lineage
 # Band of document frequencies as shares of all documents. The lexicon is at most the mean
 # number of distinct terms of a document divided by the lower share, whatever the corpus.
 LOW, HIGH = 0.0005, 0.1
-# Subsets of density 1/2, 1/4, ... with this many of each; bit 0 is the full lexicon.
-LEVELS, EACH = 10, 3
-SUBSETS = 1 + LEVELS * EACH
+# Chains of subsets of density 1/2, 1/4, ... down to 2 ** -LEVELS.
+LEVELS, CHAINS = 10, 6
+SUBSETS = 1 + LEVELS * CHAINS
+# A lexicon that travels with the plan: sixteen bytes a term at most.
+TABLE_TERMS = 1 << 20
 
 
 def words_of(text: Column) -> Column:
@@ -28,37 +35,93 @@ def words_of(text: Column) -> Column:
     return F.array_distinct(F.split(F.lower(text), r"[^\p{L}\p{N}]+"))
 
 
-def subset_bits(term: Column) -> Column:
-    """Bit j set: the term belongs to the j-th lexicon."""
-    bits = F.lit(1).cast("long")
-    for level in range(1, LEVELS + 1):
-        for number in range(EACH):
-            inside = F.pmod(F.xxhash64(term, F.lit(level * 100 + number)), F.lit(1 << level)) == 0
-            bits = bits.bitwiseOR(F.when(inside, F.lit(1 << (1 + (level - 1) * EACH + number))).otherwise(F.lit(0)))
-    return bits
+def terms_of(text: Column) -> Column:
+    """Hashes of the distinct terms of a text."""
+    return F.transform(F.filter(words_of(text), lambda w: w != ""), lambda w: F.xxhash64(w))
+
+
+def code_of(term: Column) -> Column:
+    """40 bits of the term, and for each chain how deep the term lies in it (0 to LEVELS)."""
+    drawn = F.xxhash64(term, F.lit(7))
+    code = F.shiftleft(term, 4 * CHAINS)
+    for chain in range(CHAINS):
+        part = F.shiftright(drawn, LEVELS * chain).bitwiseOR(F.lit(1 << LEVELS).cast("long"))
+        # Trailing zeros, at most LEVELS.
+        depth = F.bit_count(part.bitwiseAND(-part) - 1).cast("long")
+        code = code.bitwiseOR(F.shiftleft(depth, 4 * chain))
+    return code
 
 
 def lexicon(df: DataFrame, low: float, high: float) -> DataFrame:
-    """(term, code): terms of the band; a code holds the term's hash and its subsets."""
+    """(term): hashes of the terms of the band. Only hashes travel, counted before they do."""
     total = df.count()
-    counted = (
-        df.select(F.explode(words_of(F.col("_w_text"))).alias("_w_term")).where("_w_term <> ''")
-        .groupBy("_w_term").agg(F.count("*").alias("_w_df"))
-    )
+    counted = df.select(F.explode(terms_of(F.col("_w_text"))).alias("_w_term")).groupBy("_w_term").agg(F.count("*").alias("_w_df"))
     band = counted.where((F.col("_w_df") >= max(2, low * total)) & (F.col("_w_df") <= max(2, high * total)))
-    name = F.shiftleft(F.xxhash64("_w_term"), 32)
-    return band.select(F.col("_w_term"), name.bitwiseOR(subset_bits(F.col("_w_term"))).alias("_w_code"))
+    return band.where("_w_term <> 0").select("_w_term")
+
+
+def _places(terms: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two places of a term in a table of ``size`` (a power of two)."""
+    return terms & (size - 1), (terms >> 32) & (size - 1)
+
+
+def term_table(terms: list[int]) -> np.ndarray:
+    """Hashes at one of their two places each; 0 marks an empty place."""
+    values = np.array(sorted(t for t in terms if t), dtype=np.int64)
+    size = 16
+    while size < 2.5 * len(values):
+        size *= 2
+    while True:
+        table = [0] * size
+        first, second = (p.tolist() for p in _places(values, size))
+        where = {t: (a, b) for t, a, b in zip(values.tolist(), first, second, strict=True)}
+        for term in where:
+            at = where[term][0]
+            for _ in range(500):
+                term, table[at] = table[at], term
+                if not term:
+                    break
+                # The one that stood here moves to its other place.
+                a, b = where[term]
+                at = b if at == a else a
+            else:
+                break
+        else:
+            return np.array(table, dtype=np.int64)
+        size *= 2
+
+
+def _in_table(table: np.ndarray):
+    """Column function: whether a term is in the lexicon, by its two places in the table."""
+    constant = F.lit(bytes(table.astype(">i8").tobytes()))
+    mask = F.lit(len(table) - 1).cast("long")
+    def test(term: Column) -> Column:
+        key = F.unhex(F.lpad(F.hex(term), 16, "0"))
+        places = (term.bitwiseAND(mask), F.shiftright(term, 32).bitwiseAND(mask))
+        found = [F.substring(constant, (p * 8 + 1).cast("int"), F.lit(8)) == key for p in places]
+        # A term whose hash is 0 is in no lexicon.
+        return (term != 0) & (found[0] | found[1])
+
+    return test
+
+
+def _hashes(codes: Column) -> Column:
+    """One hash per lexicon of the sorted codes in it; null where there are none."""
+    def hashed(chosen: Column) -> Column:
+        return F.when(F.size(chosen) > 0, F.hash(chosen))
 
+    def chain(number: int) -> Column:
+        start = F.struct(codes.alias("left"), F.array().cast("array<int>").alias("out"))
 
-def _hashes(codes: str) -> Column:
-    """One hash per lexicon of the sorted codes in it; null where there are none."""
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(SUBSETS - 1)),
-        lambda j: F.when(
-            F.exists(codes, lambda c: F.getbit(c, j) == 1),
-            F.xxhash64(F.filter(codes, lambda c: F.getbit(c, j) == 1)),
-        ),
-    )
+        def step(state: Column, level: Column) -> Column:
+            deep = F.filter(state["left"], lambda c: F.shiftright(c, 4 * number).bitwiseAND(F.lit(15).cast("long")) >= level)
+            return F.struct(deep.alias("left"), F.concat(state["out"], F.array(hashed(state["left"]))).alias("out"))
+
+        # The first hash is that of the whole lexicon, the others of the subsets.
+        whole = F.aggregate(F.sequence(F.lit(1), F.lit(LEVELS + 1)), start, step, lambda s: s["out"])
+        return whole if number == 0 else F.slice(whole, 2, LEVELS)
+
+    return F.concat(*[chain(n) for n in range(CHAINS)])
 
 
 def likeness(a: str, b: str) -> Column:
@@ -69,54 +132,45 @@ def likeness(a: str, b: str) -> Column:
     return F.when(met > 0, same / met).otherwise(F.lit(1.0))
 
 
-def _named(codes: str, any_word: str, every: str) -> Column:
-    """Fingerprint of a text; without a term of the band all its terms name it together."""
-    rest = F.concat(
-        F.array(F.when(F.col(any_word) == 1, F.col(every))),
-        F.array_repeat(F.lit(None).cast("long"), SUBSETS - 1),
+def _named(codes: str, terms: str) -> Column:
+    """Hashes of a text; without a term of the band all its terms name it together."""
+    alone = F.concat(
+        F.array(F.when(F.size(terms) > 0, F.hash(F.array_sort(terms)))),
+        F.array_repeat(F.lit(None).cast("int"), SUBSETS - 1),
     )
-    return F.when(F.size(codes) > 0, _hashes(codes)).otherwise(rest)
+    return F.when(F.size(codes) > 0, _hashes(F.col(codes))).otherwise(alone)
 
 
-def fingerprint_pairs(both: DataFrame, terms: DataFrame, keys: list[str]) -> DataFrame:
-    """``keys`` with the fingerprints of ``_w_text`` and ``_w_edited``, one row per input row.
+def with_hashes(rows: DataFrame, texts: dict[str, str], band: DataFrame, most: int = TABLE_TERMS) -> DataFrame:
+    """Rows with the hashes of each text column in place of it; ``texts``: column to new name.
 
-    Terms meet the lexicon where their row is: the lexicon's size is bounded by the band
-    (see ``LOW``), so it travels and the texts do not. Rows equal in all keys, among them a
-    digest of the text, are folded and unfolded again.
+    ``band`` is the lexicon, pinned. Beyond ``most`` terms it is joined: terms and their row's
+    number travel then, and no text.
     """
-    def side(name: str, number: int) -> Column:
-        return F.transform(words_of(F.col(name)), lambda w, i: F.struct(
-            F.lit(number).alias("side"), (i == 0).alias("first"), w.alias("term")))
-
-    each = both.select(*keys, F.explode(F.concat(side("_w_text", 0), side("_w_edited", 1))).alias("_w_each"))
-    met = each.select(*keys, "_w_each.side", "_w_each.first", F.col("_w_each.term").alias("_w_term")).join(
-        F.broadcast(terms), "_w_term", "left"
-    )
-    aggregates = [F.count(F.when(F.col("first") & (F.col("side") == 0), 1)).alias("_w_copies")]
-    for number in (0, 1):
-        mine, word = F.col("side") == number, F.col("_w_term") != ""
-        aggregates += [
-            F.collect_list(F.when(mine, F.col("_w_code"))).alias(f"_w_codes{number}"),
-            F.max(F.when(mine & word, F.lit(1))).alias(f"_w_any{number}"),
-            # A sum over distinct terms of this side; copies of a row repeat all of them.
-            F.sum(F.when(mine & word, F.xxhash64("_w_term").cast("decimal(20,0)"))).alias(f"_w_sum{number}"),
-        ]
-    folded = met.groupBy(*keys).agg(*aggregates)
-    for number in (0, 1):
-        folded = folded.withColumn(
-            f"_w_codes{number}", F.array_sort(F.array_distinct(f"_w_codes{number}"))
-        ).withColumn(f"_w_all{number}", F.xxhash64((F.col(f"_w_sum{number}") / F.col("_w_copies")).cast("string")))
-    return folded.select(
-        *keys,
-        *[_named(f"_w_codes{n}", f"_w_any{n}", f"_w_all{n}").alias(f"_w_hashes{n}") for n in (0, 1)],
-        F.explode(F.sequence(F.lit(1), F.col("_w_copies").cast("int"))).alias("_w_copy"),
-    ).drop("_w_copy")
+    terms = rows.withColumns({f"_w_t_{name}": terms_of(F.col(c)) for c, name in texts.items()}).drop(*texts)
+    if band.count() <= most:
+        member = _in_table(term_table([r[0] for r in band.collect()]))
+        coded = terms.withColumns({
+            f"_w_c_{name}": F.array_sort(F.transform(F.filter(f"_w_t_{name}", member), code_of)) for name in texts.values()
+        })
+    else:
+        # Rows are pinned with a number, so that their terms find back to them.
+        terms = cut_lineage(terms.withColumn("_w_row", F.monotonically_increasing_id()))
+        coded = terms
+        for name in texts.values():
+            each = terms.select("_w_row", F.explode(f"_w_t_{name}").alias("_w_term")).join(band, "_w_term")
+            lists = each.groupBy("_w_row").agg(F.array_sort(F.collect_list(code_of(F.col("_w_term")))).alias(f"_w_c_{name}"))
+            coded = coded.join(lists, "_w_row", "left").withColumn(
+                f"_w_c_{name}", F.coalesce(f"_w_c_{name}", F.array().cast("array<bigint>"))
+            )
+        coded = coded.drop("_w_row")
+    named = coded.withColumns({name: _named(f"_w_c_{name}", f"_w_t_{name}") for name in texts.values()})
+    return named.drop(*[f"_w_{x}_{name}" for x in "tc" for name in texts.values()])
 
 
 def printed(hashes: str) -> Column:
     """Hashes as one line of text; lexicons that do not meet the text are empty between commas."""
-    return F.array_join(F.transform(hashes, lambda h: F.lower(F.hex(h))), ",", "")
+    return F.array_join(F.transform(hashes, lambda h: F.lower(F.hex(h.cast("long").bitwiseAND(F.lit(0xFFFFFFFF))))), ",", "")
 
 
 def edited_fingerprints(df: DataFrame, id: str = "doc_id", text: str = "text", low: float = LOW, high: float = HIGH) -> DataFrame:
@@ -129,29 +183,34 @@ def edited_fingerprints(df: DataFrame, id: str = "doc_id", text: str = "text", l
     is null. Extra columns are not read. An empty table gives an empty table.
     """
     rows = df.select(F.col(f"`{id}`").alias("doc_id"), filled(text).alias("_w_text"))
-    terms = cut_lineage(lexicon(rows, low, high))
+    band = cut_lineage(lexicon(rows, low, high))
     counted = rows.select("doc_id", F.length("_w_text").cast("long").alias("n_chars"))
-    order = following_ids(counted, "doc_id")
+    order = cut_lineage(following_ids(counted, "doc_id"))
     longest = counted.groupBy("doc_id").agg(F.max(F.floor(F.col("n_chars") / 3)).alias("_w_tail"))
-    wanted = order.join(longest, "doc_id").select(F.col("doc_id").alias("_w_for"), F.col("next_key").alias("_w_next"), "_w_tail")
-    heads = (
-        wanted.join(rows.select(F.col("doc_id").alias("_w_next"), "_w_text"), "_w_next")
-        .groupBy("_w_for", "_w_next").agg(F.min(F.expr("substring(_w_text, 1, int(_w_tail))")).alias("_w_head"))
-        .select(F.col("_w_for").alias("doc_id"), "_w_next", "_w_head")
+    # What each document is asked for by the one before it: how much of its head, and by whom.
+    asked = order.join(longest, "doc_id").select(
+        F.col("next_key").alias("doc_id"), F.col("doc_id").alias("_w_for"), F.col("_w_tail")
+    )
+    links = asked.join(order.withColumnRenamed("next_key", "_w_next"), "doc_id")
+    # Texts are dealt by id once; heads, a third of them, go to the document before.
+    placed = rows.join(links, "doc_id", "left")
+    heads = placed.where(F.col("_w_for").isNotNull()).groupBy(F.col("_w_for").alias("_w_own")).agg(
+        F.min(F.expr("substring(_w_text, 1, int(_w_tail))")).alias("_w_head")
     )
     tail = F.floor(F.length("_w_text") / 3)
     edited = F.concat(
         F.expr("substring(_w_text, 1, int(length(_w_text) - floor(length(_w_text) / 3)))"),
         F.substring(F.coalesce("_w_head", F.lit("")), F.lit(1), tail.cast("int")),
     )
-    both = rows.join(heads, "doc_id", "left").select("doc_id", "_w_next", "_w_text", edited.alias("_w_edited")).select(
+    both = placed.join(heads, F.col("doc_id") == F.col("_w_own"), "left").select(
+        "doc_id", "_w_next", "_w_text", edited.alias("_w_edited")
+    ).select(
         "*",
         F.length("_w_text").cast("long").alias("n_chars"),
-        F.sha2("_w_edited", 256).alias("edited_sha256"),
+        F.sha2(F.col("_w_edited").cast("binary"), 256).alias("edited_sha256"),
         F.xxhash64("_w_text").alias("_w_whole"),
     )
-    keys = ["doc_id", "_w_next", "n_chars", "edited_sha256", "_w_whole"]
-    found = cut_lineage(fingerprint_pairs(both, terms, keys))
+    found = cut_lineage(with_hashes(both, {"_w_text": "_w_hashes0", "_w_edited": "_w_hashes1"}, band))
     following = found.groupBy(F.col("doc_id").alias("_w_next")).agg(
         F.min(F.struct("_w_whole", "_w_hashes0"))["_w_hashes0"].alias("_w_following")
     )
