@@ -6,9 +6,9 @@ text's fingerprint is, for every lexicon, the hash of its sorted distinct terms
 it. Sparse subsets survive edits that dense ones do not, so the share of equal hashes grows
 with the likeness of two texts. Only DataFrame functions are used.
 
-A term is its 64-bit hash. The lexicon is measured; up to ``TABLE_TERMS`` it is a constant of the
-plan, a table of two possible places for each term, so that texts meet it where they are.
-Beyond, terms are joined to it by shuffle. Either way gives the same fingerprints.
+A term is its 64-bit hash. The lexicon is measured; up to ``TABLE_TERMS`` it is one broadcast row,
+a table of two possible places for each term, so that texts meet it where they are. Beyond,
+terms are joined to it by shuffle. Either way gives the same fingerprints.
 """
 
 from __future__ import annotations
@@ -26,8 +26,8 @@ LOW, HIGH = 0.0005, 0.1
 # Chains of subsets of density 1/2, 1/4, ... down to 2 ** -LEVELS.
 LEVELS, CHAINS = 10, 6
 SUBSETS = 1 + LEVELS * CHAINS
-# A lexicon that travels with the plan: sixteen bytes a term at most.
-TABLE_TERMS = 1 << 20
+# A lexicon that is broadcast as a table, of 20 bytes a term at most; each text copies it once.
+TABLE_TERMS = 1 << 17
 
 
 def words_of(text: Column) -> Column:
@@ -66,20 +66,23 @@ def _places(terms: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def term_table(terms: list[int]) -> np.ndarray:
-    """Hashes at one of their two places each; 0 marks an empty place."""
-    values = np.array(sorted(t for t in terms if t), dtype=np.int64)
+    """The high halves of the hashes, each at one of its two places; 0 marks an empty place.
+
+    A place depends on the low half or on the high one, so a term is known by both.
+    """
+    values = np.array(sorted(terms), dtype=np.int64)
     size = 16
     while size < 2.5 * len(values):
         size *= 2
     while True:
-        table = [0] * size
         first, second = (p.tolist() for p in _places(values, size))
         where = {t: (a, b) for t, a, b in zip(values.tolist(), first, second, strict=True)}
+        table: dict[int, int] = {}
         for term in where:
             at = where[term][0]
             for _ in range(500):
-                term, table[at] = table[at], term
-                if not term:
+                term, table[at] = table.get(at), term
+                if term is None:
                     break
                 # The one that stood here moves to its other place.
                 a, b = where[term]
@@ -87,20 +90,28 @@ def term_table(terms: list[int]) -> np.ndarray:
             else:
                 break
         else:
-            return np.array(table, dtype=np.int64)
+            out = np.zeros(size, dtype=np.uint32)
+            for at, term in table.items():
+                out[at] = _mark(term)
+            return out
         size *= 2
 
 
-def _in_table(table: np.ndarray):
+def _mark(term: int) -> int:
+    """Bits 32 to 63, and never 0, which marks an empty place."""
+    return (term >> 32 & 0xFFFFFFFF) or 1
+
+
+def _in_table(table: str, size: int):
     """Column function: whether a term is in the lexicon, by its two places in the table."""
-    constant = F.lit(bytes(table.astype(">i8").tobytes()))
-    mask = F.lit(len(table) - 1).cast("long")
+    mask = F.lit(size - 1).cast("long")
+
     def test(term: Column) -> Column:
-        key = F.unhex(F.lpad(F.hex(term), 16, "0"))
+        high = F.shiftrightunsigned(term, 32)
+        mark = F.unhex(F.lpad(F.hex(F.when(high == 0, F.lit(1).cast("long")).otherwise(high)), 8, "0"))
         places = (term.bitwiseAND(mask), F.shiftright(term, 32).bitwiseAND(mask))
-        found = [F.substring(constant, (p * 8 + 1).cast("int"), F.lit(8)) == key for p in places]
-        # A term whose hash is 0 is in no lexicon.
-        return (term != 0) & (found[0] | found[1])
+        found = [F.substring(F.col(table), (p * 4 + 1).cast("int"), F.lit(4)) == mark for p in places]
+        return found[0] | found[1]
 
     return test
 
@@ -149,10 +160,13 @@ def with_hashes(rows: DataFrame, texts: dict[str, str], band: DataFrame, most: i
     """
     terms = rows.withColumns({f"_w_t_{name}": terms_of(F.col(c)) for c, name in texts.items()}).drop(*texts)
     if band.count() <= most:
-        member = _in_table(term_table([r[0] for r in band.collect()]))
-        coded = terms.withColumns({
+        table = term_table([r[0] for r in band.collect()])
+        member = _in_table("_w_table", len(table))
+        # One row, of a size known by now.
+        carried = rows.sparkSession.createDataFrame([(bytearray(table.astype(">u4").tobytes()),)], "_w_table binary")
+        coded = terms.crossJoin(F.broadcast(carried)).withColumns({
             f"_w_c_{name}": F.array_sort(F.transform(F.filter(f"_w_t_{name}", member), code_of)) for name in texts.values()
-        })
+        }).drop("_w_table")
     else:
         # Rows are pinned with a number, so that their terms find back to them.
         terms = cut_lineage(terms.withColumn("_w_row", F.monotonically_increasing_id()))
@@ -194,7 +208,8 @@ def edited_fingerprints(df: DataFrame, id: str = "doc_id", text: str = "text", l
     links = asked.join(order.withColumnRenamed("next_key", "_w_next"), "doc_id")
     # Texts are dealt by id once; heads, a third of them, go to the document before.
     placed = rows.join(links, "doc_id", "left")
-    heads = placed.where(F.col("_w_for").isNotNull()).groupBy(F.col("_w_for").alias("_w_own")).agg(
+    # Both uses keep the join as it is, or its exchange of texts would not be shared.
+    heads = placed.groupBy(F.coalesce("_w_for", "doc_id").alias("_w_own")).agg(
         F.min(F.expr("substring(_w_text, 1, int(_w_tail))")).alias("_w_head")
     )
     tail = F.floor(F.length("_w_text") / 3)
