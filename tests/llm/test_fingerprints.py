@@ -66,6 +66,6 @@ def test_every_term_is_in_its_table():
         table = fingerprints.term_table(list(terms))
         values = np.array(sorted(terms), dtype=np.int64)
         first, second = fingerprints._places(values, len(table))
-        marks = np.array([fingerprints._mark(t) for t in values.tolist()], dtype=np.uint32)
+        marks = np.array([fingerprints._mark(t) for t in values.tolist()], dtype=np.int32)
         assert np.count_nonzero(table) == len(terms)
         assert np.all((table[first] == marks) | (table[second] == marks)) if n else True

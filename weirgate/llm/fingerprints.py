@@ -90,7 +90,7 @@ def term_table(terms: list[int]) -> np.ndarray:
             else:
                 break
         else:
-            out = np.zeros(size, dtype=np.uint32)
+            out = np.zeros(size, dtype=np.int32)
             for at, term in table.items():
                 out[at] = _mark(term)
             return out
@@ -98,19 +98,20 @@ def term_table(terms: list[int]) -> np.ndarray:
 
 
 def _mark(term: int) -> int:
-    """Bits 32 to 63, and never 0, which marks an empty place."""
-    return (term >> 32 & 0xFFFFFFFF) or 1
+    """Bits 32 to 63 as a signed number, and never 0, which marks an empty place."""
+    return (term >> 32) or 1
 
 
 def _in_table(table: str, size: int):
-    """Column function: whether a term is in the lexicon, by its two places in the table."""
+    """Column function: whether a term is in the lexicon, by its two places in the table, an
+    array column (its items are read in place)."""
     mask = F.lit(size - 1).cast("long")
 
     def test(term: Column) -> Column:
-        high = F.shiftrightunsigned(term, 32)
-        mark = F.unhex(F.lpad(F.hex(F.when(high == 0, F.lit(1).cast("long")).otherwise(high)), 8, "0"))
-        places = (term.bitwiseAND(mask), F.shiftright(term, 32).bitwiseAND(mask))
-        found = [F.substring(F.col(table), (p * 4 + 1).cast("int"), F.lit(4)) == mark for p in places]
+        high = F.shiftright(term, 32)
+        mark = F.when(high == 0, F.lit(1)).otherwise(high.cast("int"))
+        places = (term.bitwiseAND(mask), high.bitwiseAND(mask))
+        found = [F.get(F.col(table), p.cast("int")) == mark for p in places]
         return found[0] | found[1]
 
     return test
@@ -163,7 +164,7 @@ def with_hashes(rows: DataFrame, texts: dict[str, str], band: DataFrame, most: i
         table = term_table([r[0] for r in band.collect()])
         member = _in_table("_w_table", len(table))
         # One row, of a size known by now.
-        carried = rows.sparkSession.createDataFrame([(bytearray(table.astype(">u4").tobytes()),)], "_w_table binary")
+        carried = rows.sparkSession.createDataFrame([(table.tolist(),)], "_w_table array<int>")
         coded = terms.crossJoin(F.broadcast(carried)).withColumns({
             f"_w_c_{name}": F.array_sort(F.transform(F.filter(f"_w_t_{name}", member), code_of)) for name in texts.values()
         }).drop("_w_table")
