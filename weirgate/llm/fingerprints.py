@@ -144,13 +144,19 @@ def likeness(a: str, b: str) -> Column:
     return F.when(met > 0, same / met).otherwise(F.lit(1.0))
 
 
-def _named(codes: str, terms: str) -> Column:
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body names it; the optimizer
+    would write the value into each place."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _named(codes: Column, terms: Column) -> Column:
     """Hashes of a text; without a term of the band all its terms name it together."""
     alone = F.concat(
         F.array(F.when(F.size(terms) > 0, F.hash(F.array_sort(terms)))),
         F.array_repeat(F.lit(None).cast("int"), SUBSETS - 1),
     )
-    return F.when(F.size(codes) > 0, _hashes(F.col(codes))).otherwise(alone)
+    return F.when(F.size(codes) > 0, _hashes(codes)).otherwise(alone)
 
 
 def with_hashes(rows: DataFrame, texts: dict[str, str], band: DataFrame, most: int = TABLE_TERMS) -> DataFrame:
@@ -159,28 +165,30 @@ def with_hashes(rows: DataFrame, texts: dict[str, str], band: DataFrame, most: i
     ``band`` is the lexicon, pinned. Beyond ``most`` terms it is joined: terms and their row's
     number travel then, and no text.
     """
-    terms = rows.withColumns({f"_w_t_{name}": terms_of(F.col(c)) for c, name in texts.items()}).drop(*texts)
     if band.count() <= most:
         table = term_table([r[0] for r in band.collect()])
         member = _in_table("_w_table", len(table))
         # One row, of a size known by now.
         carried = rows.sparkSession.createDataFrame([(table.tolist(),)], "_w_table array<int>")
-        coded = terms.crossJoin(F.broadcast(carried)).withColumns({
-            f"_w_c_{name}": F.array_sort(F.transform(F.filter(f"_w_t_{name}", member), code_of)) for name in texts.values()
-        }).drop("_w_table")
-    else:
-        # Rows are pinned with a number, so that their terms find back to them.
-        terms = cut_lineage(terms.withColumn("_w_row", F.monotonically_increasing_id()))
-        coded = terms
-        for name in texts.values():
-            each = terms.select("_w_row", F.explode(f"_w_t_{name}").alias("_w_term")).join(band, "_w_term")
-            lists = each.groupBy("_w_row").agg(F.array_sort(F.collect_list(code_of(F.col("_w_term")))).alias(f"_w_c_{name}"))
-            coded = coded.join(lists, "_w_row", "left").withColumn(
-                f"_w_c_{name}", F.coalesce(f"_w_c_{name}", F.array().cast("array<bigint>"))
-            )
-        coded = coded.drop("_w_row")
-    named = coded.withColumns({name: _named(f"_w_c_{name}", f"_w_t_{name}") for name in texts.values()})
-    return named.drop(*[f"_w_{x}_{name}" for x in "tc" for name in texts.values()])
+
+        def named(terms: Column) -> Column:
+            codes = F.array_sort(F.transform(F.filter(terms, member), code_of))
+            return _let(codes, lambda c: _named(c, terms))
+
+        joined = rows.crossJoin(F.broadcast(carried))
+        return joined.withColumns({name: _let(terms_of(F.col(c)), named) for c, name in texts.items()}).drop("_w_table", *texts)
+    # Rows are pinned with a number, so that their terms find back to them.
+    terms = rows.withColumns({f"_w_t_{name}": terms_of(F.col(c)) for c, name in texts.items()}).drop(*texts)
+    terms = cut_lineage(terms.withColumn("_w_row", F.monotonically_increasing_id()))
+    coded = terms
+    for name in texts.values():
+        each = terms.select("_w_row", F.explode(f"_w_t_{name}").alias("_w_term")).join(band, "_w_term")
+        lists = each.groupBy("_w_row").agg(F.array_sort(F.collect_list(code_of(F.col("_w_term")))).alias(f"_w_c_{name}"))
+        coded = coded.join(lists, "_w_row", "left").withColumn(
+            f"_w_c_{name}", F.coalesce(f"_w_c_{name}", F.array().cast("array<bigint>"))
+        )
+    done = coded.withColumns({name: _named(F.col(f"_w_c_{name}"), F.col(f"_w_t_{name}")) for name in texts.values()})
+    return done.drop("_w_row", *[f"_w_{x}_{name}" for x in "tc" for name in texts.values()])
 
 
 def printed(hashes: str) -> Column:
