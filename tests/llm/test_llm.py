@@ -9,6 +9,8 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from tests.llm import brute
 from tests.oracle_check import compare, connect
@@ -85,6 +87,23 @@ def test_repeats_across_split_shards(odd, odd_rows, monkeypatch):
         assert tuple(row)[1:] == wanted[row["doc_id"]]
 
 
+def test_anchor_over_several_shards_as_it_stands(spark):
+    rng = random.Random(21)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    noise = lambda n: "".join(rng.choices(letters, k=n))
+    passage, tails = noise(95), [noise(60) for _ in range(300)]
+    rows = [(i, noise(60) + passage + (tails[i % 700] if i % 700 < 300 else noise(60))) for i in range(9000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    raw = df.select(F.col("doc_id").alias("doc"), F.col("text").cast("binary").alias("_w_raw"))
+    groups = suffixes.anchors(raw, 100, digests=True).groupBy("hash").agg(F.count_distinct("digest").alias("n"))
+    assert groups.agg(F.max("n")).first()[0] > suffixes.SHARD_STRETCHES
+    wanted = brute.repeats(rows)
+    found = suffixes.drop_repeats(df).collect()
+    assert len(found) == len(rows) and sum(r["n_removed"] > 0 for r in found) > 3000
+    for row in found:
+        assert tuple(row)[1:] == wanted[row["doc_id"]]
+
+
 def test_suffix_order_and_prefixes():
     rng = np.random.default_rng(3)
     parts = [bytes(rng.integers(97, 99, n).astype("uint8")) for n in (40, 1, 130, 130, 64)]

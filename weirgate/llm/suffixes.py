@@ -20,6 +20,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 from weirgate.llm.common import filled, sized_side, written
 from weirgate.llm.parity import mix64
@@ -72,27 +73,33 @@ def _blocks(raw: bytes, length: int) -> Iterator[tuple[int, np.ndarray]]:
         yield at, data[at : at + BLOCK + length - 1]
 
 
-def anchors(df: DataFrame, length: int) -> DataFrame:
-    """(doc, hash, start, windows) of every text in ``_w_raw``."""
-    names = ["doc", "hash", "start", "windows"]
+def anchors(df: DataFrame, length: int, digests: bool = False) -> DataFrame:
+    """(doc, hash, start, windows) of every text in ``_w_raw``, with the stretch's digest if asked."""
+    names = ["doc", "hash", "start", "windows", *["digest"] * digests]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[np.ndarray]] = [[], [], [], []]
+        held: list[list[np.ndarray]] = [[] for _ in names]
         rows = 0
         for batch in batches:
             for doc, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
-                for at, data in _blocks(raw.as_py(), length):
+                raw = raw.as_py()
+                for at, data in _blocks(raw, length):
                     hashes, start, windows = owners(data, length)
-                    for column, values in zip(held, (np.full(len(hashes), doc), hashes, start + at, windows)):
+                    columns = [np.full(len(hashes), doc), hashes, start + at, windows]
+                    if digests:
+                        ends = columns[2] + windows + (length - 1)
+                        bodies = (xxh3_64_intdigest(raw[a:b]) for a, b in zip(columns[2].tolist(), ends.tolist()))
+                        columns.append(np.fromiter(bodies, dtype=np.uint64, count=len(hashes)).view(np.int64))
+                    for column, values in zip(held, columns):
                         column.append(values)
                     rows += len(hashes)
                     if rows >= 50_000:
                         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in held], names=names)
-                        held, rows = [[], [], [], []], 0
+                        held, rows = [[] for _ in names], 0
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in held], names=names)
 
-    return df.select("doc", "_w_raw").mapInArrow(run, "doc long, hash long, start long, windows long")
+    return df.select("doc", "_w_raw").mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 
 def suffix_order(data: np.ndarray, ends: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -259,62 +266,73 @@ def _merge(open_rows: DataFrame, length: int) -> DataFrame:
     )
 
 
-def _stretches(found: DataFrame, texts: DataFrame, length: int) -> DataFrame:
-    """(hash, doc, start, body) of the stretches whose anchor repeats."""
-    per_doc = found.groupBy("doc").agg(F.collect_list(F.struct("hash", "start", "windows")).alias("runs"))
+def _bodies(placed: DataFrame, texts: DataFrame) -> DataFrame:
+    """(split, shard, doc, start, body) of the placed stretches.
+
+    What is wanted of a text goes to it where the measured size allows; else each text moves once.
+    """
+    per_doc = placed.groupBy("doc").agg(F.collect_list(F.struct("split", "shard", "start", "size")).alias("runs"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for whole in batches:
             for at in range(0, len(whole), 64):
                 batch = whole.iloc[at : at + 64]
                 rows = [
-                    (r["hash"], doc, r["start"], raw[r["start"] : r["start"] + r["windows"] + length - 1])
+                    (r["split"], r["shard"], doc, r["start"], raw[r["start"] : r["start"] + r["size"]])
                     for doc, raw, runs in zip(batch["doc"], batch["_w_raw"], batch["runs"]) for r in runs
                 ]
-                yield pd.DataFrame(rows, columns=["hash", "doc", "start", "body"])
+                yield pd.DataFrame(rows, columns=["split", "shard", "doc", "start", "body"])
 
-    return texts.join(per_doc, "doc").mapInPandas(run, "hash long, doc long, start long, body binary")
+    wanted = sized_side(per_doc, F.size("runs") * 32 + 32)
+    return texts.join(wanted, "doc").mapInPandas(run, "split boolean, shard long, doc long, start long, body binary")
 
 
 def removed_spans(texts: DataFrame, length: int) -> DataFrame:
     """(doc, a, b): spans of bytes covered by a window that starts earlier too; they may overlap.
 
     ``texts``: (doc, _w_raw binary), doc unique and ascending in the order that counts.
+    Stretches are the same if their anchor's hash, their size and their digest are, 128 bits
+    in all. Only stretches that are the first of several different ones of an anchor become
+    bytes again.
     """
     long_enough = texts.where(F.octet_length("_w_raw") >= length)
-    rows = anchors(long_enough, length)
     # Only whether a hash repeats counts; half of it is enough to sift.
     half = F.shiftright("hash", 32).cast("int")
-    often = rows.groupBy(half.alias("_w_half")).agg(F.count("*").alias("n")).where("n > 1").select("_w_half")
-    found = rows.join(often, half == often["_w_half"]).select("doc", "hash", "start", "windows")
-    named = written(_stretches(found, long_enough, length)).withColumn("digest", F.md5("body"))
+    often = (
+        anchors(long_enough, length).groupBy(half.alias("_w_half")).agg(F.count("*").alias("n"))
+        .where("n > 1").select("_w_half")
+    )
+    named = written(
+        anchors(long_enough, length, digests=True).join(often, half == often["_w_half"])
+        .select("hash", "digest", (F.col("windows") + (length - 1)).alias("size"), "doc", "start")
+    )
     # Equal stretches of an anchor: all but the earliest are repeated as a whole.
-    leaders = cut_lineage(
-        named.groupBy("hash", "digest")
-        .agg(F.min(F.struct("doc", "start")).alias("first"), F.max(F.octet_length("body")).alias("size"))
-        .select("hash", "digest", "first.*", "size")
+    same = ["hash", "digest", "size"]
+    leaders = written(
+        named.groupBy(*same).agg(F.min(F.struct("doc", "start")).alias("first"), F.count("*").alias("n"))
+        .select(*same, "first.*", "n")
     )
-    earliest = leaders.select("hash", "digest", F.col("doc").alias("_w_doc"), F.col("start").alias("_w_start"))
+    earliest = leaders.where("n > 1").select(*same, F.col("doc").alias("_w_doc"), F.col("start").alias("_w_start"))
     members = (
-        named.select("hash", "digest", "doc", "start", F.octet_length("body").alias("size"))
-        .join(earliest, ["hash", "digest"])
+        named.join(earliest, same)
         .where((F.col("doc") != F.col("_w_doc")) | (F.col("start") != F.col("_w_start")))
         .select("doc", F.col("start").alias("a"), (F.col("start") + F.col("size")).alias("b"))
     )
     several = leaders.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1")
-    open_ones = leaders.join(several, "hash")
+    open_ones = written(leaders.drop("n").join(several, "hash"))
     total = open_ones.agg(F.sum("size").alias("s")).first()["s"] or 0
     shards = max(1, -(-total // SHARD_BYTES))
     pieces = F.ceil(F.col("n") / SHARD_STRETCHES).cast("int")
     placed = open_ones.select(
-        "hash", "digest", "doc", "start",
+        "doc", "start", "size",
         (F.col("n") > SHARD_STRETCHES).alias("split"),
         F.when(F.col("n") > SHARD_STRETCHES, F.xxhash64("hash", F.pmod(F.xxhash64("digest"), pieces)))
         .otherwise(F.pmod(F.xxhash64("hash"), F.lit(shards)))
         .alias("shard"),
     )
-    sharded = named.join(placed, ["hash", "digest", "doc", "start"]).select("doc", "start", "body", "split", "shard")
-    solved = cut_lineage(sharded.groupBy("split", "shard").applyInPandas(_shard(length), SPANS))
+    solved = written(
+        _bodies(placed, long_enough).groupBy("split", "shard").applyInPandas(_shard(length), SPANS)
+    )
     merged = _merge(solved.where(F.col("window").isNotNull()), length)
     return members.union(solved.where(F.col("window").isNull()).select("doc", "a", "b")).union(merged)
 
