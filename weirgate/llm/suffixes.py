@@ -388,7 +388,7 @@ def drop_repeats(df: DataFrame, id: str = "doc_id", text: str = "text", length:
         texts = texts.union(once.select("doc", "_w_raw"))
     whole = copies.where(F.col("size") >= length).select("doc", F.lit(0).cast("long").alias("a"), F.col("size").alias("b"))
     merged = removed_spans(texts, length).union(whole).groupBy("doc").agg(
-        F.array_distinct(F.collect_list(F.struct("a", "b"))).alias("runs")
+        F.collect_list(F.struct("a", "b")).alias("runs")
     )
     marked = sized_side(
         merged.join(own.select("doc", "digest"), "doc"), F.size("runs") * 16 + 64
