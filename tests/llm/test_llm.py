@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 import zlib
 from collections import Counter
@@ -405,3 +406,39 @@ def test_pipeline_stages_take_odd_tables(spark, odd, none):
         base = odd.select("doc_id", "text", "lang", "source", "n_chars")
         assert stage(spark, base, SF).count() > 0
         assert stage(spark, none.select(*base.columns), SF).count() == 0
+
+
+def test_pipeline_stages_leave_columns_alone(spark, odd):
+    names = ["score", "predicted", "n_lines", "n_dropped", "copy", "rate", "component_id", "n_shingles", "_w_text"]
+    docs = odd.select("doc_id", "text", "lang", "source", "n_chars", *[F.lit(f"own {n}").alias(n) for n in names])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, docs, SF)
+        assert after.columns == docs.columns
+        rows = after.collect()
+        assert rows and all(r[n] == f"own {n}" for r in rows for n in names), name
+
+
+def test_one_row_of_a_group_stays(spark):
+    rng = random.Random(8)
+    text, near, other, lost = words(rng, 100), None, words(rng, 80, 10**6), words(rng, 60, 10**6)
+    near = text + " w1"
+    rows = [
+        (5, text), (5, text), (5, near), (7, text), (None, text), (None, lost), (None, lost + " z"), (None, lost),
+        (8, other), (9, ""), (9, ""), (None, None), (10, "one two"), (11, "ONE  two"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [tuple(r) for r in corpus_pipeline.drop_near_copies(spark, docs, SF).collect()]
+    smallest = min((text, near), key=lambda t: hashlib.md5(t.encode()).hexdigest())
+    assert Counter(k for k in kept if k[0] is not None) == Counter(
+        [(5, smallest), (8, other), (9, ""), (9, ""), (10, "one two")]
+    )
+    nameless = [t for i, t in kept if i is None]
+    assert len(nameless) == 2 and None in nameless and any(t and t.startswith(lost) for t in nameless)
+
+
+def test_whole_pipeline_keeps_texts(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = spark.createDataFrame(stage(spark, docs, SF).collect(), docs.schema)
+    rows = [r.asDict() for r in corpus_pipeline.run(spark, SF).collect()]
+    brute.check_packing([(r["doc_id"], r["text"]) for r in docs.collect()], rows)
