@@ -167,3 +167,19 @@ def test_grid_samples_do_not_repeat(spark):
     assert other.intersect(large).count() == 0
     with pytest.raises(Exception, match="2\\*\\*62"):
         search.sample_grid(spark.createDataFrame([("s", "rf", {}, {f"p{i}": ["a"] * 100 for i in range(12)})], spaces.schema), names, 5).collect()
+
+
+def _customers(spark, folder):
+    rows = spark.range(60).selectExpr("id AS c_custkey", "'x' AS c_name", "CAST(id % 5 AS INT) AS c_nationkey", "1.0D AS c_acctbal", "'s' AS c_mktsegment")
+    rows.coalesce(1).write.parquet(f"{folder}/customer.parquet")
+    return str(folder)
+
+
+def test_grids_of_one_small_file_are_many_tasks(spark, tmp_path):
+    from weirgate.plans import selection_plans
+
+    found = selection_plans.plans.queries["trial_sample_grid"](spark, _customers(spark, tmp_path))
+    assert found.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    got = {r["sweep_id"]: r for r in found.collect()}
+    assert len(got) == 60 and all(r["from_choices"] and r["trials"] == r["different"] for r in got.values())
+    assert [got[i]["trials"] for i in range(3)] == [24, 12, 24]

@@ -109,10 +109,16 @@ def sample_grid(spaces: DataFrame, parameters: list[str], max_trials: int, seed:
     key = [F.lit(seed), F.col("sweep_id"), F.col("family")]
     first = F.col("trial_no") - 1
 
-    def again(x: Column, i: Column) -> Column:
-        return F.when((i > 1) & (x < F.col("_points")), x).otherwise(_permuted(x, F.col("_left"), F.col("_right"), key))
+    def again(x: Column) -> Column:
+        return _permuted(x, F.col("_left"), F.col("_right"), key)
 
-    walked = numbered.withColumn("_at", F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), first, again))
+    def inside(x: Column, otherwise: Column) -> Column:
+        return F.when(x < F.col("_points"), x).otherwise(otherwise)
+
+    # The first step mostly ends inside; only the others walk on.
+    stepped = numbered.withColumn("_at", again(first))
+    walk = F.aggregate(F.sequence(F.lit(2), F.lit(WALK)), F.col("_at"), lambda x, i: inside(x, again(x)))
+    walked = stepped.withColumn("_at", inside(F.col("_at"), walk))
     lost = F.raise_error(F.lit("no point of the grid was reached")).cast("long")
     placed = walked.withColumn("_at", F.when(F.col("_at") < F.col("_points"), F.col("_at")).otherwise(lost))
     below = ["CAST(1 AS BIGINT)"]

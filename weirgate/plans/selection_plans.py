@@ -9,7 +9,7 @@ from weirgate.plans.common import Registry, rounded
 from weirgate.plans.views import hash52_sql
 from weirgate.sources.artifacts import parse_candidate_metrics
 from weirgate.sources.derived import derived, derived_sql, trials
-from weirgate.sources.tables import table
+from weirgate.sources.tables import spread, table
 
 plans = Registry()
 
@@ -296,7 +296,7 @@ def trial_sample_grid(spark, sf):
         return F.slice(values, 1, n)
 
     few = F.when(kind == 1, F.create_map(F.lit("p0"), some(4), F.lit("p5"), some(3), F.lit("p7"), F.array(F.lit(None).cast("string"))))
-    spaces = table(spark, sf, "customer").select(
+    spaces = spread(table(spark, sf, "customer").select("c_custkey"), "c_custkey").select(
         F.col("c_custkey").alias("sweep_id"), F.lit("rf").alias("family"),
         F.create_map().cast("map<string,array<string>>").alias("shared"),
         F.when(kind == 0, F.create_map(*[x for p in _GRID for x in (F.lit(p), some(10))])).otherwise(
