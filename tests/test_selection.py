@@ -183,3 +183,12 @@ def test_grids_of_one_small_file_are_many_tasks(spark, tmp_path):
     got = {r["sweep_id"]: r for r in found.collect()}
     assert len(got) == 60 and all(r["from_choices"] and r["trials"] == r["different"] for r in got.values())
     assert [got[i]["trials"] for i in range(3)] == [24, 12, 24]
+
+
+def test_trials_of_one_small_file_are_many_tasks(spark, tmp_path):
+    from weirgate.plans import selection_plans
+
+    found = selection_plans.plans.queries["trial_sample"](spark, _customers(spark, tmp_path))
+    assert found.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    # Sweeps of the third family have an empty space; a sweep has two trials at most.
+    assert sorted({(r["sweep_id"], r["trial_no"]) for r in found.collect()}) == [(i, n) for i in range(60) if i % 3 != 2 for n in (1, 2)]

@@ -200,7 +200,7 @@ def winner_consistency(spark, sf):
 
 # One search per customer: the number of choices follows the nation key.
 def spaces(spark, sf):
-    return table(spark, sf, "customer").select(
+    return spread(table(spark, sf, "customer").select("c_custkey", "c_nationkey"), "c_custkey").select(
         F.col("c_custkey").alias("sweep_id"),
         F.expr("CASE c_custkey % 3 WHEN 0 THEN 'rf' WHEN 1 THEN 'logreg' ELSE 'svm' END").alias("family"),
         F.expr("map('use_smote', array('true', CAST(NULL AS STRING)))").alias("shared"),
