@@ -127,3 +127,13 @@ def test_secrets_go_at_any_depth(spark):
     for row in got:
         for text in (row.t, row.v):
             assert (json.loads(text) if text is not None else None) == wanted[row.id]
+
+
+def test_secrets_go_in_one_pass(spark):
+    # Nothing is read while the work is described.
+    broken = spark.range(1).select(F.raise_error(F.lit("read")).cast("string").alias("t"))
+    assert without_nested_secrets(broken, ["t"]).columns == ["t"]
+    texts = ['{"a":1,"key":2}', '{"key":{"b":[1,"}"]},"token":1}', '[{"a\\\\key":1,"b":"key,"},{"\\token":1,"z":1e5}]', '{"k\\u0065y":1}', "1e5"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    got = [r["t"] for r in without_nested_secrets(df, ["t"]).orderBy("id").collect()]
+    assert got == ['{"a":1}', "{}", '[{"b":"key,"},{"\\token":1,"z":100000}]', "{}", "100000.0"]

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import json
+import re
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Parts of key names that mark a secret.
 SECRET_MARKERS = ("secret", "token", "password", "key", "connection_string")
@@ -16,53 +20,64 @@ def secret_key(key: Column) -> Column:
     return reduce(lambda a, b: a | b, [F.contains(F.lower(key), F.lit(m)) for m in SECRET_MARKERS])
 
 
-def json_depth(text: Column) -> Column:
-    """How deep objects and lists of a JSON text are nested; 0 for a scalar."""
-    brackets = F.regexp_replace(F.regexp_replace(text, r'"(?:[^"\\]|\\.)*+"', ""), r"[^\[\]{}]", "")
-    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+# Strings (with the colon of a key) and the marks between values of compact JSON.
+_TOKEN = re.compile(r'"[^"\\]*(?:\\.[^"\\]*)*"(:)?|[\[\]{},]')
 
-    def step(acc: Column, char: Column) -> Column:
-        now = acc["now"] + F.when(char.isin("{", "["), 1).when(char.isin("}", "]"), -1).otherwise(0)
-        return F.struct(now.alias("now"), F.greatest(acc["most"], now).alias("most"))
 
-    return F.aggregate(F.split(brackets, ""), start, step)["most"]
+def _marked(text: str) -> bool:
+    low = text.lower()
+    return any(m in low for m in SECRET_MARKERS)
 
 
-def _walked(text: Column, depth: int) -> Column:
-    """The JSON text without marked keys in its first ``depth`` levels, rebuilt from inside out."""
-    if depth == 0:
+def _kept(text: str | None) -> str | None:
+    """Compact JSON without the entries of marked keys; all else is copied as it stands."""
+    if text is None or not _marked(text):
         return text
-    is_object, is_list = F.startswith(text, F.lit("{")), F.startswith(text, F.lit("["))
-
-    def inside(value: Column) -> Column:
-        return _walked(F.to_json(value), depth - 1)
-
-    # Objects and lists become one kind of entries, so that each level is written once.
-    entries = F.when(
-        is_object, F.transform(F.map_entries(F.from_json(text, "map<string,variant>")), lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value")))
-    ).when(
-        is_list, F.transform(F.from_json(text, "array<variant>"), lambda v: F.struct(F.lit(None).cast("string").alias("key"), v.alias("value")))
-    )
-    kept = F.filter(entries, lambda e: e["key"].isNull() | ~secret_key(e["key"]))
-    parts = F.transform(
-        kept, lambda e: F.concat(F.coalesce(F.concat(F.to_json(e["key"].cast("variant")), F.lit(":")), F.lit("")), F.coalesce(inside(e["value"]), F.lit("null")))
-    )
-    # Written once, or the expression would double with every level.
-    whole = F.concat(F.when(is_object, "{").otherwise("["), F.array_join(parts, ","), F.when(is_object, "}").otherwise("]"))
-    return F.when(is_object | is_list, whole).otherwise(text)
+    out: list[str] = []
+    # ``dropped``: depth of the object whose entry is being left out.
+    at, depth, dropped = 0, 0, None
+    for token in _TOKEN.finditer(text):
+        mark = text[token.start()]
+        if mark == '"':
+            if token[1] and dropped is None:
+                key = token[0][:-1]
+                if _marked(json.loads(key) if "\\" in key else key):
+                    out.append(text[at : token.start()])
+                    dropped = depth
+        elif mark in "[{":
+            depth += 1
+        elif mark == ",":
+            if dropped == depth:
+                at, dropped = token.end(), None
+        else:
+            if dropped == depth:
+                at, dropped = token.start(), None
+                # The comma before the last entry, over entries that went with it.
+                while not out[-1]:
+                    out.pop()
+                out[-1] = out[-1].removesuffix(",")
+            depth -= 1
+    return "".join(out) + text[at:]
+
+
+@F.pandas_udf(T.StringType())
+def _without_marked(texts: pd.Series) -> pd.Series:
+    return texts.map(_kept, na_action="ignore")
 
 
 def without_nested_secrets(df: DataFrame, columns: list[str]) -> DataFrame:
     """Columns of JSON text or VARIANT without the entries of marked keys, however deep.
 
-    A value is opened level by level; the entries under a marked key go with all they hold,
-    the rest is put together again from the inside. Objects come back with their keys in
-    order. Text that is no JSON gives null: what cannot be read is not passed on. One pass
-    finds the depth of the columns, another rewrites them; no rows move.
+    Spark parses a value and writes it in compact form; the entries under a marked key are
+    cut out of that text with all they hold. Objects come back with their keys in order.
+    Text that is no JSON gives null: what cannot be read is not passed on. One pass, and no
+    rows move.
     """
     kinds = dict(df.dtypes)
     texts = {c: F.to_json(F.col(c) if kinds[c] == "variant" else F.try_parse_json(F.col(c))) for c in columns}
-    plain = df.withColumns(texts)
-    deepest = plain.agg(*[F.max(json_depth(F.col(c))).alias(c) for c in columns]).first()
-    cleaned = plain.withColumns({c: _walked(F.col(c), deepest[c] or 0) for c in columns})
+    # Numbers in objects and lists have one form only after a second writing.
+    again = {
+        c: F.when(F.col(c).rlike(r"^[\[{]"), F.to_json(F.try_parse_json(c))).otherwise(F.col(c)) for c in columns
+    }
+    cleaned = df.withColumns(texts).withColumns(again).withColumns({c: _without_marked(c) for c in columns})
     return cleaned.withColumns({c: F.try_parse_json(c) for c in columns if kinds[c] == "variant"})
