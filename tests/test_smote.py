@@ -77,3 +77,28 @@ def test_integer_copy_option(spark):
     df = spark.createDataFrame(rows, "k long, y int, n int")
     made = smote(df, ["n"], "y", "k", integers="copy").where("draw is not null")
     assert made.where("n % 1000 <> 0").count() == 0
+
+
+def test_blocks_are_compared_in_little_memory():
+    import tracemalloc
+
+    import numpy as np
+    import pandas as pd
+
+    from weirgate.operators.neighbours import _best_of_block
+
+    n, k = 1500, 3
+    # Small whole numbers, so that many distances tie.
+    points = np.random.default_rng(5).integers(0, 4, (n, 6)).astype(float)
+    left = pd.DataFrame({"pid": np.arange(n), "features": list(points)})
+    right = left.iloc[::-1].assign(copies=1)
+    tracemalloc.start()
+    got = _best_of_block(k)(left, right)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # Less than one matrix of all distances.
+    assert most < 8 * n * n
+    for pid in (0, 63, 64, 1499):
+        squared = ((points - points[pid]) ** 2).sum(axis=1)
+        wanted = sorted((d, i) for i, d in enumerate(squared) if i != pid)[:k]
+        assert [(r.distance2, r.neighbour) for r in got[got.pid == pid].itertuples()] == wanted

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from weirgate.session import cut_lineage
 
+ROWS_AT_ONCE = 64
 SLACK = 1e-9  # relative allowance for rounding in the pruning bounds
 
 
@@ -38,8 +39,11 @@ class Cells:
 def _distances(points: np.ndarray, others: np.ndarray) -> np.ndarray:
     """Squared distances, summed dimension by dimension to avoid cancellation."""
     total = np.zeros((len(points), len(others)))
+    apart = np.empty_like(total)
+    columns = np.ascontiguousarray(others.T)
     for d in range(points.shape[1]):
-        total += (points[:, d, None] - others[None, :, d]) ** 2
+        np.subtract(points[:, d, None], columns[d], out=apart)
+        total += np.square(apart, out=apart)
     return total
 
 
@@ -123,24 +127,28 @@ def _best_of_block(k: int):
         if not len(points) or not len(others):
             return pd.DataFrame(columns=columns)
         ids, other_ids = points["pid"].to_numpy(), others["pid"].to_numpy()
-        squared = _distances(
-            np.stack(points["features"].to_numpy()), np.stack(others["features"].to_numpy())
-        )
-        squared[ids[:, None] == other_ids[None, :]] = np.inf
-        kept_rows, kept_others = [], []
-        for i in range(len(ids)):
-            row = squared[i]
-            limit = np.partition(row, k - 1)[k - 1] if len(row) > k else np.inf
-            near = np.flatnonzero((row <= limit) & np.isfinite(row))
-            near = near[np.lexsort((other_ids[near], row[near]))][:k]
-            kept_rows.append(np.full(len(near), i))
-            kept_others.append(near)
+        own, other = np.stack(points["features"].to_numpy()), np.stack(others["features"].to_numpy())
+        kept_rows, kept_others, kept_squared = [], [], []
+        # A few points at a time, so that their distances stay in the processor's cache.
+        for start in range(0, len(ids), ROWS_AT_ONCE):
+            squared = _distances(own[start : start + ROWS_AT_ONCE], other)
+            squared[ids[start : start + ROWS_AT_ONCE, None] == other_ids[None, :]] = np.inf
+            near = np.isfinite(squared)
+            if squared.shape[1] > k:
+                near &= squared <= np.partition(squared, k - 1, axis=1)[:, k - 1, None]
+            i, j = np.nonzero(near)
+            order = np.lexsort((other_ids[j], squared[i, j], i))
+            i, j = i[order], j[order]
+            first = np.arange(len(i)) - np.searchsorted(i, i) < k
+            kept_rows.append(start + i[first])
+            kept_others.append(j[first])
+            kept_squared.append(squared[i[first], j[first]])
         a, b = np.concatenate(kept_rows), np.concatenate(kept_others)
         return pd.DataFrame(
             {
                 "pid": ids[a],
                 "neighbour": other_ids[b],
-                "distance2": squared[a, b],
+                "distance2": np.concatenate(kept_squared),
                 "copies": others["copies"].to_numpy()[b],
                 "features": others["features"].to_numpy()[b],
             }
