@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pyspark.sql import functions as F
@@ -122,6 +123,70 @@ def test_suffix_order_and_prefixes():
         assert shared[here] == n
 
 
+class Batches:
+    """A frame as far as anchors need one: its tasks run here."""
+
+    def __init__(self, texts: list[bytes]) -> None:
+        self.batch = pa.record_batch({"doc": list(range(len(texts))), "_w_raw": pa.array(texts, pa.binary())})
+
+    def select(self, *names):
+        return self
+
+    def mapInArrow(self, run, schema):
+        return pa.Table.from_batches(run(iter([self.batch]))).to_pandas()
+
+
+def test_anchors_hash_short_texts_together(monkeypatch):
+    """One call of numpy for many texts, with the stretches each text has alone."""
+    rng = random.Random(17)
+    texts = [words(rng, rng.randrange(1, 60), 50).encode() for _ in range(400)] + [b"", b"ab" * 300, b"x" * 100]
+    assert sum(map(len, texts)) < 1 << 16
+    alone = []
+    for doc, text in enumerate(texts):
+        if len(text) >= 100:
+            found = suffixes.anchors(Batches([text]), 100, digests=True)
+            alone += [(doc, *row[1:]) for row in found.itertuples(index=False, name=None)]
+    calls, hashed = [], suffixes.gram_hashes
+    monkeypatch.setattr(suffixes, "gram_hashes", lambda data: calls.append(len(data)) or hashed(data))
+    together = suffixes.anchors(Batches(texts), 100, digests=True)
+    assert len(calls) == 1
+    assert list(together.itertuples(index=False, name=None)) == alone
+    halves = suffixes.anchors(Batches(texts), 100, halves=True)["half"]
+    assert halves.tolist() == [row[1] >> 32 for row in alone]
+    # Of two stretches the digest is the same where their bytes are, wherever they stand.
+    bodies = [texts[doc][start : start + windows + 99] for doc, _, start, windows, _ in alone]
+    assert len(set(bodies)) == len({(row[4], row[3]) for row in alone}) == len(set(zip(bodies, (row[4] for row in alone))))
+
+
+def test_equal_suffixes_stand_by_position():
+    """Stretches that end alike, or where another goes on, and windows that several hold."""
+    rng = np.random.default_rng(8)
+    tail = bytes(rng.integers(97, 99, 140).astype("uint8"))
+    parts = [b"a" * 60 + tail, b"b" * 9 + tail, tail, tail + b"a", b"a" * 150, b"a" * 143, tail[:7], b"a" * 7]
+    data = np.frombuffer(b"".join(parts), dtype=np.uint8)
+    offsets = np.cumsum([0, *map(len, parts)])
+    ends = np.repeat(offsets[1:], np.diff(offsets))
+    order, rank = suffixes.suffix_order(data, ends, 200)
+    suffix = [bytes(data[i:e]) for i, e in enumerate(ends)]
+    assert order.tolist() == sorted(range(len(data)), key=lambda i: (suffix[i], i))
+    assert all((rank[a] == rank[b]) == (suffix[a] == suffix[b]) for a, b in zip(order, order[1:]))
+    shared = suffixes.common_prefixes(data, offsets[:-1], ends, order, 100)
+    for before, here in zip(order, order[1:]):
+        n = 0
+        while n < min(100, len(suffix[before]), len(suffix[here])) and suffix[before][n] == suffix[here][n]:
+            n += 1
+        assert shared[here] == n
+    docs, starts = np.array([5, 3, 3, 9, 1, 1]), np.array([0, 0, 500, 0, 400, 0])
+    stretch, inside, repeated = suffixes.repeated_windows(parts[:6], docs, starts, 100)
+    seen, wanted = set(), set()
+    for _, at, s, i in sorted((docs[s], starts[s] + i, s, i) for s in range(6) for i in range(len(parts[s]) - 99)):
+        window = parts[s][i : i + 100]
+        wanted |= {(s, i)} if window in seen else set()
+        seen.add(window)
+    assert len(stretch) == sum(len(p) - 99 for p in parts[:6])
+    assert set(zip(stretch[repeated].tolist(), inside[repeated].tolist())) == wanted
+
+
 def test_ngram_join_matches_brute_force(odd, odd_rows, none, spark):
     wanted = brute.similar([(r[0], r[1]) for r in odd_rows])
     found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in parity.similar_components(odd).collect()}

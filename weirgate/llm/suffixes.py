@@ -20,7 +20,6 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh3_64_intdigest
 
 from weirgate.llm.common import filled, sized_side, written
 from weirgate.llm.parity import mix64
@@ -30,31 +29,41 @@ GRAM = 32
 # Positions hashed in one go; position and hash share a word in the sliding minimum.
 BLOCK_BITS = 20
 BLOCK = (1 << BLOCK_BITS) - (1 << 12)
-# Bytes of one shard, and stretches of one anchor in it.
-SHARD_BYTES = 1 << 20
+# Texts are hashed together up to this size: what numpy costs a call is spread, arrays stay in the cache.
+PACK_BYTES = 1 << 16
+# Base of the polynomials that tell stretches apart.
+DIGEST_BASE = 0xD6E8FEB86659FD93
+# Bytes of one shard (its arrays then stay in the cache), and stretches of one anchor in it.
+SHARD_BYTES = 1 << 18
 SHARD_STRETCHES = 4096
 # Initial sort key: seven bytes, nine bits each, so that an end sorts before any byte.
 FIRST_KEY = 7
+# Positions after which the common prefixes of a stretch are compared from their first byte again.
+STRIDE = 16
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
     """Hash of the GRAM bytes from every position that has them."""
     count = len(data) - GRAM + 1
-    eight = np.zeros(len(data) - 7, dtype=np.uint64)
-    for i in range(8):
-        eight |= data[i : i + len(eight)].astype(np.uint64) << np.uint64(8 * i)
-    out = np.zeros(count, dtype=np.uint64)
+    # The eight bytes from every position as one word, read in place.
+    eight = np.array(np.ndarray(len(data) - 7, dtype="<u8", buffer=data, strides=(1,)))
+    out, part, high = (np.zeros(count, dtype=np.uint64) for _ in range(3))
     for i, factor in enumerate((0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)):
-        part = eight[8 * i : 8 * i + count] * np.uint64(factor)
-        out += part ^ (part >> np.uint64(29))
+        np.multiply(eight[8 * i : 8 * i + count], np.uint64(factor), out=part)
+        np.right_shift(part, np.uint64(29), out=high)
+        part ^= high
+        out += part
     return mix64(out)
 
 
-def owners(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, first window, windows) of each run of windows with one owner."""
-    windows = len(data) - length + 1
-    hashes = gram_hashes(data)
-    packed = (hashes & np.uint64(~((1 << BLOCK_BITS) - 1) & (1 << 64) - 1)) | np.arange(len(hashes), dtype=np.uint64)
+def owners(hashes: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(owner, first window, windows) of each run of windows with one owner, as positions.
+
+    ``ends``: where each of the hashed texts ends; a window lies in one of them, and none is shorter than a window.
+    """
+    windows = len(hashes) + GRAM - length
+    packed = hashes & np.uint64(~((1 << BLOCK_BITS) - 1) & (1 << 64) - 1)
+    packed |= np.arange(len(hashes), dtype=np.uint64)
     reach, span = length - GRAM + 1, 1
     while 2 * span <= reach:
         packed = np.minimum(packed[:-span], packed[span:])
@@ -62,126 +71,179 @@ def owners(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.nd
     if span < reach:
         rest = reach - span
         packed = np.minimum(packed[: len(packed) - rest], packed[rest:])
-    anchor = (packed[:windows] & np.uint64((1 << BLOCK_BITS) - 1)).astype(np.int64)
-    first = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1])))
-    return hashes[anchor[first]].view(np.int64), first, np.diff(np.append(first, windows))
-
-
-def _blocks(raw: bytes, length: int) -> Iterator[tuple[int, np.ndarray]]:
-    data = np.frombuffer(raw, dtype=np.uint8)
-    for at in range(0, len(data) - length + 1, BLOCK):
-        yield at, data[at : at + BLOCK + length - 1]
-
-
-def anchors(df: DataFrame, length: int, digests: bool = False) -> DataFrame:
-    """(doc, hash, start, windows) of every text in ``_w_raw``, with the stretch's digest if asked."""
-    names = ["doc", "hash", "start", "windows", *["digest"] * digests]
+    anchor = (packed[:windows] & np.uint64((1 << BLOCK_BITS) - 1)).astype(np.int32)
+    for end in ends[:-1].tolist():
+        anchor[end - length + 1 : end] = -1
+    new = np.ones(windows, dtype=bool)
+    np.not_equal(anchor[1:], anchor[:-1], out=new[1:])
+    first = np.flatnonzero(new)
+    counts = np.diff(np.append(first, windows))
+    whole = anchor[first] >= 0
+    first, counts = first[whole], counts[whole]
+    return anchor[first], first, counts
+
+
+def stretch_digests(hashes: np.ndarray, first: np.ndarray, grams: np.ndarray, powers: np.ndarray) -> np.ndarray:
+    """Digest of ``grams`` hashes from every ``first``: their polynomial modulo 2 ** 64, by prefix sums."""
+    sums = np.zeros(len(hashes) + 1, dtype=np.uint64)
+    np.cumsum(hashes * powers[: len(hashes)], out=sums[1:])
+    # The same power for the first hash of every stretch, wherever it starts.
+    return mix64((sums[first + grams] - sums[first]) * powers[len(powers) - 1 - first])
+
+
+def _packs(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple[np.ndarray, np.ndarray, list[bytes]]]:
+    """(doc, position in it, bytes) of blocks of texts that are hashed in one go."""
+    docs, at, bodies, size = [], [], [], 0
+    for batch in batches:
+        for doc, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
+            raw = raw.as_py()
+            for start in range(0, len(raw) - length + 1, BLOCK):
+                body = raw[start : start + BLOCK + length - 1]
+                if bodies and size + len(body) > PACK_BYTES:
+                    yield np.array(docs), np.array(at), bodies
+                    docs, at, bodies, size = [], [], [], 0
+                docs.append(doc)
+                at.append(start)
+                bodies.append(body)
+                size += len(body)
+    if bodies:
+        yield np.array(docs), np.array(at), bodies
+
+
+def anchors(df: DataFrame, length: int, halves: bool = False, digests: bool = False) -> DataFrame:
+    """(doc, hash, start, windows) of every text in ``_w_raw``, with the stretch's digest if asked.
+
+    ``halves``: only the upper half of every hash instead.
+    """
+    names = ["half"] if halves else ["doc", "hash", "start", "windows", *["digest"] * digests]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = [[] for _ in names]
         rows = 0
-        for batch in batches:
-            for doc, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
-                raw = raw.as_py()
-                for at, data in _blocks(raw, length):
-                    hashes, start, windows = owners(data, length)
-                    columns = [np.full(len(hashes), doc), hashes, start + at, windows]
-                    if digests:
-                        ends = columns[2] + windows + (length - 1)
-                        bodies = (xxh3_64_intdigest(raw[a:b]) for a, b in zip(columns[2].tolist(), ends.tolist()))
-                        columns.append(np.fromiter(bodies, dtype=np.uint64, count=len(hashes)).view(np.int64))
-                    for column, values in zip(held, columns):
-                        column.append(values)
-                    rows += len(hashes)
-                    if rows >= 50_000:
-                        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in held], names=names)
-                        held, rows = [[] for _ in names], 0
+        powers = np.cumprod(np.full(1 << BLOCK_BITS if digests else 0, DIGEST_BASE, dtype=np.uint64))
+        for docs, at, bodies in _packs(batches, length):
+            raw = b"".join(bodies)
+            ends = np.cumsum([len(body) for body in bodies])
+            hashes = gram_hashes(np.frombuffer(raw, dtype=np.uint8))
+            owner, first, windows = owners(hashes, ends, length)
+            owning = hashes[owner].view(np.int64)
+            if halves:
+                columns = [(owning >> 32).astype(np.int32)]
+            else:
+                text = np.searchsorted(ends, first, side="right")
+                begins = np.concatenate(([0], ends[:-1]))
+                columns = [docs[text], owning, first - begins[text] + at[text], windows]
+            if digests:
+                columns.append(stretch_digests(hashes, first, windows + (length - GRAM), powers).view(np.int64))
+            for column, values in zip(held, columns):
+                column.append(values)
+            rows += len(owning)
+            if rows >= 50_000:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in held], names=names)
+                held, rows = [[] for _ in names], 0
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in held], names=names)
 
-    return df.select("doc", "_w_raw").mapInArrow(run, ", ".join(f"{n} long" for n in names))
+    schema = "half int" if halves else ", ".join(f"{n} long" for n in names)
+    return df.select("doc", "_w_raw").mapInArrow(run, schema)
 
 
 def suffix_order(data: np.ndarray, ends: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions in the order of their suffixes' first ``depth`` bytes, and each one's rank.
 
     ``ends``: for every position, where its stretch ends; a suffix stops there. Refinement
-    doubles the compared length and touches only groups that are not yet single.
+    doubles the compared length and touches only groups that are not yet single and have
+    bytes left to compare. Equal suffixes stand by position.
     """
     size = len(data)
-    key = np.zeros(size, dtype=np.int64)
-    room = ends - np.arange(size)
-    for i in range(FIRST_KEY):
-        part = np.zeros(size, dtype=np.int64)
-        part[: size - i] = data[i:].astype(np.int64) + 1
-        part[room <= i] = 0
-        key = (key << 9) | part
-    order = np.argsort(key, kind="stable")
-    sorted_key = key[order]
-    new = np.concatenate(([True], sorted_key[1:] != sorted_key[:-1]))
-    begins = np.flatnonzero(new)
-    rank = np.empty(size, dtype=np.int64)
-    rank[order] = np.repeat(begins, np.diff(np.append(begins, size)))
-    reach = FIRST_KEY
-    counts = np.diff(np.append(begins, size))
-    open_at = np.flatnonzero(np.repeat(counts > 1, counts))
-    while reach < depth and len(open_at):
-        position = order[open_at]
-        ahead = position + reach
-        second = np.where(ahead < ends[position], rank[np.minimum(ahead, size - 1)] + 1, 0)
-        first = rank[position]
-        resort = np.argsort(first * (size + 1) + second, kind="stable")
-        position, first, second = position[resort], first[resort], second[resort]
-        order[open_at] = position
-        head = np.concatenate(([True], (first[1:] != first[:-1]) | (second[1:] != second[:-1])))
+    room = (ends - np.arange(size)).astype(np.int32)
+    codes = np.zeros(size + FIRST_KEY - 1, dtype=np.int64)
+    codes[:size] = data
+    codes[:size] += 1
+    key = codes[:size] << 9 * (FIRST_KEY - 1)
+    for i in range(1, FIRST_KEY):
+        key |= codes[i : i + size] << 9 * (FIRST_KEY - 1 - i)
+    short = np.flatnonzero(room < FIRST_KEY)
+    key[short] &= np.int64(-1) << 9 * (FIRST_KEY - room[short].astype(np.int64))
+    order = np.argsort(key)
+    key = key.take(order)
+    # One more, never compared: the rank behind the last byte.
+    rank = np.zeros(size + 1, dtype=np.int32)
+    open_at, position, reach = np.arange(size), order, FIRST_KEY
+    alike = []
+    while True:
+        head = np.ones(len(key), dtype=bool)
+        np.not_equal(key[1:], key[:-1], out=head[1:])
         begins = np.flatnonzero(head)
-        counts = np.diff(np.append(begins, len(open_at)))
-        rank[position] = np.repeat(open_at[begins], counts)
-        open_at = open_at[np.repeat(counts > 1, counts)]
+        counts = np.diff(np.append(begins, len(key)))
+        rank[position] = np.repeat(open_at[begins].astype(np.int32), counts)
+        many = np.flatnonzero(np.repeat(counts > 1, counts))
+        open_at, position = open_at.take(many), position.take(many)
+        left = room.take(position)
+        going = left >= reach
+        alike.append(open_at[~going])
+        open_at, position, left = open_at[going], position[going], left[going]
+        if reach >= depth or not len(open_at):
+            break
+        second = rank.take(position + reach) + 1
+        second[left == reach] = 0
+        key = rank.take(position).astype(np.int64) << 32 | second
+        resort = np.argsort(key)
+        position, key = position.take(resort), key.take(resort)
+        order[open_at] = position
         reach *= 2
-    return order, rank
+    # Kasai's rule needs one order of equal suffixes.
+    tied = np.sort(np.concatenate([*alike, open_at]))
+    position = order[tied]
+    order[tied] = position[np.argsort(rank[position].astype(np.int64) << 32 | position)]
+    return order, rank[:size]
 
 
 def common_prefixes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, order: np.ndarray, limit: int) -> np.ndarray:
     """Length (at most ``limit``) each suffix shares with the one before it in ``order``.
 
-    Kasai's rule in all stretches at once: one position further, at most one byte is lost.
+    Kasai's rule: one position further, at most one byte is lost. It starts anew every
+    STRIDE positions of a stretch, and all these pieces go on together.
     """
     size = len(data)
-    before = np.full(size, -1, dtype=np.int64)
+    # The first in order has the empty suffix behind the last byte before it.
+    before = np.full(size, size, dtype=np.int64)
     before[order[1:]] = order[:-1]
-    words = np.zeros(size + 8, dtype=np.uint64)
+    room = np.zeros(size + 1, dtype=np.int64)
+    room[:size] = np.minimum(ends - np.arange(size), limit)
     padded = np.concatenate((data, np.zeros(16, dtype=np.uint8)))
-    for i in range(8):
-        words |= padded[i : i + size + 8].astype(np.uint64) << np.uint64(8 * i)
+    words = np.array(np.ndarray(size + 8, dtype="<u8", buffer=padded, strides=(1,)))
     shared = np.zeros(size, dtype=np.int64)
-    stretch_ends = ends[starts]
-    at, known = starts.copy(), np.zeros(len(starts), dtype=np.int64)
+    lengths = ends[starts] - starts
+    at = np.flatnonzero((np.arange(size) - np.repeat(starts, lengths)) % STRIDE == 0)
+    stops, known = np.minimum(at + STRIDE, ends[at]), np.zeros(len(at), dtype=np.int64)
     while len(at):
-        other = before[at]
-        has = other >= 0
-        known = np.where(has, np.maximum(known - 1, 0), 0)
-        most = np.where(has, np.minimum(np.minimum(ends[at] - at, ends[other] - other), limit), 0)
+        other = before.take(at)
+        most = np.minimum(room.take(at), room.take(other))
         known = np.minimum(known, most)
         live = np.flatnonzero(known < most)
-        while len(live):
-            a, b = at[live] + known[live], other[live] + known[live]
-            differ = words[a] ^ words[b]
-            low = differ & (~differ + np.uint64(1))
+        here, there, bound = (at + known)[live], (other + known)[live], most[live]
+        gained = np.zeros(len(live), dtype=np.int64)
+        bound -= known[live]
+        open_at = np.arange(len(live))
+        while len(open_at):
+            differ = words.take(here) ^ words.take(there)
             # Equal bytes before the lowest differing one.
-            equal = np.where(differ == 0, 8, np.log2(np.maximum(low, np.uint64(1)).astype(np.float64)).astype(np.int64) // 8)
-            known[live] = np.minimum(known[live] + equal, most[live])
-            live = live[(equal == 8) & (known[live] < most[live])]
+            equal = (np.bitwise_count(~differ & (differ - np.uint64(1))) >> 3).astype(np.int64)
+            gained[open_at] += equal
+            on = np.flatnonzero((equal == 8) & (gained[open_at] < bound[open_at]))
+            open_at, here, there = open_at[on], here[on] + 8, there[on] + 8
+        known[live] += np.minimum(gained, bound)
         shared[at] = known
-        going = at + 1 < stretch_ends
-        at, known, stretch_ends = at[going] + 1, known[going], stretch_ends[going]
+        going = at + 1 < stops
+        at, known, stops = at[going] + 1, np.maximum(known[going] - 1, 0), stops[going]
     return shared
 
 
 def repeated_windows(
     bodies: list[bytes], docs: np.ndarray, starts: np.ndarray, length: int
-) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Windows of a shard: (stretch, window in it, is it repeated, its class).
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Windows of a shard: (stretch, window in it, is it repeated).
 
     Of each class of equal windows the earliest by (document, start) is not repeated.
     """
@@ -198,11 +260,16 @@ def repeated_windows(
     ordered = order[whole[order]]
     # Whole windows that are equal are neighbours: a shorter suffix sorts before them.
     heads = shared[ordered] < length
-    klass = np.cumsum(heads) - 1
-    by = np.lexsort((starts[stretch[ordered]] + inside[ordered], docs[stretch[ordered]], klass))
-    first = np.concatenate(([True], klass[by][1:] != klass[by][:-1])) if len(by) else np.zeros(0, dtype=bool)
-    position = ordered[by]
-    return stretch[position], inside[position], ~first, klass[by]
+    begins = np.flatnonzero(heads)
+    counts = np.diff(np.append(begins, len(ordered)))
+    owner, window = stretch[ordered], inside[ordered]
+    # Only in classes of several windows the earliest is sought.
+    several = np.flatnonzero(np.repeat(counts > 1, counts))
+    klass = (np.cumsum(heads) - 1)[several]
+    by = np.lexsort((starts[owner[several]] + window[several], docs[owner[several]], klass))
+    repeated = np.zeros(len(ordered), dtype=bool)
+    repeated[several[by[1:]]] = klass[by[1:]] == klass[by[:-1]]
+    return owner, window, repeated
 
 
 def _spans(docs: np.ndarray, windows: np.ndarray, length: int) -> pd.DataFrame:
@@ -225,7 +292,7 @@ def _shard(length: int):
         split = bool(group["split"].iloc[0])
         docs, starts = group["doc"].to_numpy(), group["start"].to_numpy()
         bodies = [bytes(b) for b in group["body"]]
-        stretch, inside, repeated, _ = repeated_windows(bodies, docs, starts, length)
+        stretch, inside, repeated = repeated_windows(bodies, docs, starts, length)
         gone = _spans(docs[stretch[repeated]], starts[stretch[repeated]] + inside[repeated], length)
         gone["window"], gone["at"] = None, 0
         if split:
@@ -299,7 +366,7 @@ def removed_spans(texts: DataFrame, length: int) -> DataFrame:
     # Only whether a hash repeats counts; half of it is enough to sift.
     half = F.shiftright("hash", 32).cast("int")
     often = (
-        anchors(long_enough, length).groupBy(half.alias("_w_half")).agg(F.count("*").alias("n"))
+        anchors(long_enough, length, halves=True).groupBy(F.col("half").alias("_w_half")).agg(F.count("*").alias("n"))
         .where("n > 1").select("_w_half")
     )
     named = written(
