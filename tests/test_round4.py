@@ -2,11 +2,18 @@
 
 import random
 from collections import defaultdict
+from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import Row
+from pyspark.sql import functions as F
 
-from weirgate.streaming import stateful
+from weirgate.operators import capture, gates
+from weirgate.session import STATE_STORE
+from weirgate.sources.derived import ROWWISE
+from weirgate.sources.tables import SCHEMAS
+from weirgate.streaming import monitor, stateful
 
 
 class Store:
@@ -136,3 +143,44 @@ def test_a_new_run_before_all_that_wait_moves_the_timer():
     early, late = ("a", 1_000_000, 1, True), ("a", 9_000_000, 2, True)
     out, _, handle = _stream([([late], 0), ([early], 2_000), ([], 10_000)], 2)
     assert [(i, r) for _, _, i, r in out] == [(1, False), (2, True)] and handle.calls["deleteTimer"] == 1
+
+
+def test_a_line_is_parsed_once_for_all_its_fields(spark):
+    lines = spark.createDataFrame([("{}",)], "line string")
+    for strict in (True, False):
+        plan = capture.parse_capture_lines(lines, strict=strict)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("parseJson(") == 1
+
+
+def test_the_windows_of_a_batch_are_worked_out_once(spark, tmp_path):
+    """A batch joins releases and evidence; its state must not be read for each of them."""
+    used = spark.sparkContext.accumulator(0)
+
+    def count(n):
+        used.add(1)
+        return n
+
+    orders = [(i, i % 3, "F", 1.0, datetime(2024, 1, 1), "1-URGENT") for i in range(1, 7)]
+    at = datetime(2024, 1, 2)
+    names = "window struct<start: timestamp, end: timestamp>, endpoint_name string, deployment_name string, record_count bigint, schema_consistent boolean, predictions bigint, max_single_class_share double"
+    rows = [((at, at + timedelta(days=1)), "e", f"dep-{i}", 5, True, 5, 0.9) for i in range(4)]
+    spark.createDataFrame(orders, SCHEMAS["orders"].replace("timestamp_ntz", "timestamp")).createOrReplaceTempView("round4_orders")
+    releases = spark.table("round4_orders").selectExpr(*[f"{e} AS {c}" for c, e in ROWWISE["releases"][1].items()])
+    spark.createDataFrame(rows, names).write.parquet(f"{tmp_path}/facts")
+    facts = spark.readStream.schema(names).parquet(f"{tmp_path}/facts")
+    facts = facts.withColumn("record_count", F.udf(count, "bigint").asNondeterministic()("record_count"))
+    before, default = spark.conf.get(STATE_STORE), "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    spark.conf.set(STATE_STORE, default)
+    try:
+        monitor.finish(monitor.policy_stream(
+            facts, releases, gates.MonitorConfig(min_capture_records=3, expected_feature_count=2, max_single_class_share=0.6),
+            gates.RetrainingConfig(), f"{tmp_path}/out", f"{tmp_path}/checkpoint",
+        ))
+        assert spark.conf.get(STATE_STORE) == default
+    finally:
+        spark.conf.set(STATE_STORE, before)
+    out = spark.read.schema("release_id bigint, deployment_name string, fired boolean").parquet(f"{tmp_path}/out").collect()
+    assert {(r["deployment_name"], r["release_id"]) for r in out} == {("dep-0", 6), ("dep-1", 4), ("dep-2", 5)}
+    assert used.value == len(rows)
+    # State of windows beyond the heap, as in streams that write tables.
+    assert "RocksDB" in next(Path(f"{tmp_path}/checkpoint/offsets").glob("0")).read_text()
