@@ -5,11 +5,12 @@ from collections import defaultdict
 from datetime import datetime, timedelta
 from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from weirgate.operators import capture, gates
+from weirgate.operators import capture, gates, neighbours
 from weirgate.session import STATE_STORE
 from weirgate.sources.derived import ROWWISE
 from weirgate.sources.tables import SCHEMAS
@@ -184,3 +185,49 @@ def test_the_windows_of_a_batch_are_worked_out_once(spark, tmp_path):
     assert used.value == len(rows)
     # State of windows beyond the heap, as in streams that write tables.
     assert "RocksDB" in next(Path(f"{tmp_path}/checkpoint/offsets").glob("0")).read_text()
+
+
+def _spread_points(spark, n=600, seed=5):
+    rng = np.random.default_rng(seed)
+    data = np.concatenate([rng.normal(size=(n - 100, 4)), rng.normal(size=(100, 4)) * 50])
+    rows = [(i, [float(x) for x in p], 1) for i, p in enumerate(data)]
+    return data, spark.createDataFrame(rows, "pid bigint, features array<double>, copies bigint")
+
+
+@pytest.mark.parametrize("spread", [0, 2, 1000])
+def test_neighbours_do_not_depend_on_the_turns_of_the_cells(spark, spread):
+    data, points = _spread_points(spark)
+    out = neighbours.nearest_neighbours(points, 4, max_pivots=12, block_rows=40, spread=spread).collect()
+    squared = ((data[:, None] - data[None]) ** 2).sum(axis=2)
+    np.fill_diagonal(squared, np.inf)
+    got = defaultdict(list)
+    for r in sorted(out, key=lambda r: r["rank"]):
+        got[r["pid"]].append(r["neighbour"])
+    assert len(out) == 4 * len(data)
+    assert all(got[i] == list(np.argsort(squared[i], kind="stable")[:4]) for i in range(len(data)))
+
+
+def test_cells_take_turns_within_the_rows_they_may_move():
+    assert neighbours._turns([3, 3, 3], 100) == [(0, 3)]
+    assert neighbours._turns([3, 3, 3, 9, 1], 6) == [(0, 2), (2, 3), (3, 4), (4, 5)]
+    assert neighbours._turns([5], 0) == [(0, 1)]
+
+
+def test_far_candidates_do_not_travel_to_a_cell(spark):
+    """Bounds of whole cells let most candidates travel; those of the points' own blocks do not."""
+    data = np.random.default_rng(5).uniform(size=(3000, 2))
+    points = spark.createDataFrame([(i, [float(x) for x in p], 1) for i, p in enumerate(data)], "pid bigint, features array<double>, copies bigint")
+    pivots = data[:40]
+    assigned = neighbours._assign(points, pivots).cache()
+    wide = neighbours._summarise(assigned, pivots, 4, 500)
+    tight = neighbours._tightened(assigned, wide, 4, F.pmod("pid", F.lit(2)))
+    squared = ((data[:, None] - data[None]) ** 2).sum(axis=2)
+    np.fill_diagonal(squared, np.inf)
+    kth = np.sqrt(np.partition(squared, 3, axis=1)[:, 3])
+    moved = []
+    for cells in (wide, tight):
+        targets = {r["pid"]: set(r["targets"]) for r in neighbours._candidates(assigned, cells).collect()}
+        moved.append(sum(map(len, targets.values())))
+        home = {r["pid"]: r["cell"] for r in assigned.collect()}
+        assert all(home[p] in targets[c] for p, c in zip(*np.nonzero(squared <= kth[:, None] ** 2), strict=True))
+    assert moved[1] < moved[0] * 0.8
