@@ -11,7 +11,7 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from weirgate.operators import capture, gates, neighbours
-from weirgate.session import STATE_STORE
+from weirgate.session import RESERVE_AHEAD, STATE_STORE, state_on_disk
 from weirgate.sources.derived import ROWWISE
 from weirgate.sources.tables import SCHEMAS
 from weirgate.streaming import monitor, stateful
@@ -177,7 +177,9 @@ def test_the_windows_of_a_batch_are_worked_out_once(spark, tmp_path):
             facts, releases, gates.MonitorConfig(min_capture_records=3, expected_feature_count=2, max_single_class_share=0.6),
             gates.RetrainingConfig(), f"{tmp_path}/out", f"{tmp_path}/checkpoint",
         ))
-        assert spark.conf.get(STATE_STORE) == default
+        assert spark.conf.get(STATE_STORE) == default and spark.conf.get(RESERVE_AHEAD, None) is None
+        with state_on_disk(spark):
+            assert spark.conf.get(RESERVE_AHEAD) == "false"
     finally:
         spark.conf.set(STATE_STORE, before)
     out = spark.read.schema("release_id bigint, deployment_name string, fired boolean").parquet(f"{tmp_path}/out").collect()
